@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import common, warc
+from tidemark.llm import common, mixing, ogg, warc
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,28 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ogg.probe(ogg.store(common.table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(common.table(spark, sf_dir, "documents")).select("doc_id", *mixing.NAMES)
+
+
+SQL_OP6 = r"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS turn FROM d GROUP BY source),
+w AS (SELECT *, list_extract([3, 1, 2], ((turn - 1) % 3 + 1)::INT) AS weight, CAST(source_size * 2 AS DOUBLE) AS cap FROM s),
+l AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5 - coalesce(sum(cap) OVER f, 0)) / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER f, 0)) AS step
+  FROM w WINDOW f AS (ORDER BY cap / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(cap, (max(step) OVER ()) * weight) AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
+r AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, CAST(floor(p.target + 0.5) AS BIGINT) - p.whole * p.source_size AS rest,
+  coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('0:' || d.doc_id), d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM r
+"""
+
 SQL_OP10 = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
@@ -26,8 +48,8 @@ SELECT page_id, CAST(d.n AS BIGINT) AS payload_bytes,
 FROM d JOIN o ON d.h = o.h AND d.n = o.n
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_warc": op10_warc}
-ORACLES: dict[str, str] = {"op10_warc": SQL_OP10}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op6_mix": op6_mix, "op8_ogg": op8_ogg, "op10_warc": op10_warc}
+ORACLES: dict[str, str] = {"op6_mix": SQL_OP6, "op10_warc": SQL_OP10}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
