@@ -228,5 +228,6 @@ def _reader(with_payload: bool):
 
 def read_archives(manifest: DataFrame, *, with_payload: bool = True) -> DataFrame:
     """The records of the manifest's archives; a file is read by one task."""
-    spread = manifest.select("path").repartition(F.col("path"))
+    # The manifest is a written table of one row a file.  With a number of partitions given they aren't merged.
+    spread = manifest.select("path").repartition(max(1, manifest.count()))
     return spread.mapInArrow(_reader(with_payload), ROWS)
