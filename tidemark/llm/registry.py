@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import common, mixing, ogg, warc
+from tidemark.llm import common, mixing, ogg, toxicity, warc
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op8_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg.probe(ogg.store(common.table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents")).select("doc_id", *mixing.NAMES)
 
@@ -48,7 +52,7 @@ SELECT page_id, CAST(d.n AS BIGINT) AS payload_bytes,
 FROM d JOIN o ON d.h = o.h AND d.n = o.n
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op6_mix": op6_mix, "op8_ogg": op8_ogg, "op10_warc": op10_warc}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_toxicity": op3_toxicity, "op6_mix": op6_mix, "op8_ogg": op8_ogg, "op10_warc": op10_warc}
 ORACLES: dict[str, str] = {"op6_mix": SQL_OP6, "op10_warc": SQL_OP10}
 
 
