@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import common, mixing, ogg, sentencepiece, toxicity, warc
+from tidemark.llm import common, licences, mixing, ogg, sentencepiece, toxicity, warc
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = "/opt/
     return sentencepiece.digest(common.table(spark, sf_dir, "documents"), model_path)
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(common.table(spark, sf_dir, "documents"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents")).select("doc_id", *mixing.NAMES)
 
@@ -56,7 +60,7 @@ SELECT page_id, CAST(d.n AS BIGINT) AS payload_bytes,
 FROM d JOIN o ON d.h = o.h AND d.n = o.n
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op6_mix": op6_mix, "op8_ogg": op8_ogg, "op10_warc": op10_warc}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_licences": op5_licences, "op6_mix": op6_mix, "op8_ogg": op8_ogg, "op10_warc": op10_warc}
 ORACLES: dict[str, str] = {"op6_mix": SQL_OP6, "op10_warc": SQL_OP10}
 
 
