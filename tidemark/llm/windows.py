@@ -184,7 +184,7 @@ def sketch(rows: DataFrame, hashes_of: Callable[[list], Iterator[np.ndarray]], b
                 block = cell >> CELL_BITS
                 edges = np.flatnonzero(np.r_[True, np.diff(block) != 0]) if len(cell) else np.empty(0, np.int64)
                 low, count = (cell & ((1 << CELL_BITS) - 1)).astype(np.uint16), np.minimum(count, 65535).astype(np.uint16)
-                for a, b in zip(edges, np.r_[edges[1:], len(cell)], strict=True):
+                for a, b in zip(edges, np.r_[edges, len(cell)][1:], strict=True):
                     for c, v in zip(columns, (row, int(block[a]), low[a:b].tobytes(), count[a:b].tobytes()), strict=True):
                         c.append(v)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["row", "block", "cells", "counts"])
