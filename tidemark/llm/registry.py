@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, common, licences, mixing, ogg, sentencepiece, substring, suffix, toxicity, warc
+from tidemark.llm import ann, common, licences, mixing, neardup, ogg, sentencepiece, substring, suffix, toxicity, warc
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(common.table(spark, sf_dir, "documents"))
 
 
+def op9_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(common.table(spark, sf_dir, "documents"), words=2).withColumnRenamed("id", "doc_id")
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents")).select("doc_id", *mixing.NAMES)
 
@@ -74,7 +78,7 @@ SELECT page_id, CAST(d.n AS BIGINT) AS payload_bytes,
 FROM d JOIN o ON d.h = o.h AND d.n = o.n
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_srs": op1_srs, "op2_suffix": op2_suffix, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_licences": op5_licences, "op6_mix": op6_mix, "op7_substring": op7_substring, "op8_ogg": op8_ogg, "op10_warc": op10_warc}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_srs": op1_srs, "op2_suffix": op2_suffix, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_licences": op5_licences, "op6_mix": op6_mix, "op7_substring": op7_substring, "op8_ogg": op8_ogg, "op9_setsketch": op9_setsketch, "op10_warc": op10_warc}
 ORACLES: dict[str, str] = {"op6_mix": SQL_OP6, "op10_warc": SQL_OP10}
 
 
