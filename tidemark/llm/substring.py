@@ -25,19 +25,23 @@ from tidemark.llm import windows as W
 LAST_ID = (1 << 63) - 1
 
 
+def _windows(a: W.Anchors, at: np.ndarray, span: int) -> list[bytes]:
+    """The hashes of the windows of each of the anchors, as bytes."""
+    sizes = a.last[at] - a.first[at] + 1
+    offsets = np.r_[0, np.cumsum(sizes)]
+    flat = a.window_hashes(span)[np.repeat(a.low[at] - offsets[:-1], sizes) + np.arange(offsets[-1])].tobytes()
+    return [flat[x * 8 : y * 8] for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def _emit(shared: tuple, k: int, span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, name = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id")
-            for a in W.anchors([W.word_symbols(x) for x in batch.column("raw").to_pylist()], k, span):
+            for a in W.anchors(map(W.word_symbols, batch.column("raw").to_pylist()), k, span):
                 again, hot = W.marked(shared, a.hash)
                 at = np.flatnonzero(again & ~hot)
-                sizes = a.last[at] - a.first[at] + 1
-                offsets = np.r_[0, np.cumsum(sizes)]
-                flat = a.window_hashes(span).view(np.int64)[np.repeat(a.low[at] - offsets[:-1], sizes) + np.arange(offsets[-1])]
-                whole = flat.tobytes()
                 text = a.text[at]
-                yield pa.RecordBatch.from_arrays([pa.array(key[text]), name.take(pa.array(text)), pa.array(a.hash[at].view(np.int64)), pa.array(a.first[at], pa.int32()), pa.array([whole[x * 8 : y * 8] for x, y in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], names=["key", "id", "hash", "first", "windows"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[text]), name.take(pa.array(text)), pa.array(a.hash[at].view(np.int64)), pa.array(a.first[at], pa.int32()), pa.array(_windows(a, at, span), pa.binary())], names=["key", "id", "hash", "first", "windows"])
 
     return run
 
@@ -45,22 +49,29 @@ def _emit(shared: tuple, k: int, span: int):
 SPANS = "key long, id long, start int, stop int"
 
 
+def _least(table: pa.Table, owner: str, body: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the windows of rows, one after another: row, place in the row, own id, and the least id that has the window."""
+    raw = table.column(body).to_pylist()
+    sizes = np.array([len(x) // 8 for x in raw], np.int64)
+    flat = np.frombuffer(b"".join(raw), np.int64)
+    row = np.repeat(np.arange(len(raw)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    ids = table.column(owner).combine_chunks().fill_null(LAST_ID).to_numpy()[row]
+    hashes = table.column("hash").to_numpy()[row]
+    least = np.empty(len(flat), np.int64)
+    if len(flat):
+        order = np.lexsort((flat, hashes))
+        edge = np.flatnonzero(np.r_[True, (np.diff(flat[order]) != 0) | (np.diff(hashes[order]) != 0)])
+        least[order] = np.repeat(np.minimum.reduceat(ids[order], edge), np.diff(np.r_[edge, len(flat)]))
+    return row, place, ids, least
+
+
 def _grouped(span: int):
     """Rows in order of their anchors' hashes: the spans whose windows occur under a smaller id."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
-        raw = table.column("windows").to_pylist()
-        sizes = np.array([len(x) // 8 for x in raw], np.int64)
-        flat = np.frombuffer(b"".join(raw), np.int64)
-        row = np.repeat(np.arange(len(raw)), sizes)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        ids = table.column("id").combine_chunks().fill_null(LAST_ID).to_numpy()
-        hashes = table.column("hash").to_numpy()
-        order = np.lexsort((flat, hashes[row]))
-        edge = np.flatnonzero(np.r_[True, (np.diff(flat[order]) != 0) | (np.diff(hashes[row[order]]) != 0)]) if len(flat) else np.empty(0, np.int64)
-        least = np.minimum.reduceat(ids[row[order]], edge) if len(edge) else np.empty(0, np.int64)
-        gone = np.zeros(len(flat), bool)
-        gone[order] = np.repeat(least, np.diff(np.r_[edge, len(flat)])) < ids[row[order]]
+        row, place, ids, least = _least(table, "id", "windows")
+        gone = least < ids
         row, place = row[gone], place[gone]
         starts = np.flatnonzero(np.r_[True, np.diff(row) != 0]) if len(row) else np.empty(0, np.int64)
         owner = row[starts]
@@ -71,6 +82,20 @@ def _grouped(span: int):
     return lambda batches: W.grouped(batches, solve)
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        row, _, _, least = _least(table, "own", "body")
+        return W.values_batch(table, least, np.bincount(row, minlength=table.num_rows))
+
+    return W.grouped(batches, solve)
+
+
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw = batch.column("body").to_pylist()
+        yield W.single_batch(batch, np.frombuffer(b"".join(raw), np.int64), np.array([len(x) // 8 for x in raw], np.int64))
+
+
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -88,12 +113,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def spans(rows: DataFrame, *, span: int = 50, k: int = 12, hot: int = 1024, bits: int | None = None) -> DataFrame:
+def spans(rows: DataFrame, *, span: int = 50, k: int = 12, hot: int = 1024, most: int = 16_384, bits: int | None = None) -> DataFrame:
     """(key, id, start, stop) in words: what to remove of the rows that ``windows.keyed`` gives."""
-    shared = W.sketch(rows, lambda raw: (a.hash for a in W.anchors([W.word_symbols(x) for x in raw], k, span)), bits or W.sketch_bits(rows, 1 / 10), hot)
+    shared = W.sketch(rows, lambda raw: (a.hash for a in W.anchors(map(W.word_symbols, raw), k, span)), bits or W.sketch_bits(rows, 1 / 10), hot)
     usual = rows.mapInArrow(_emit(shared, k, span), "key long, id long, hash long, first int, windows binary").repartition("hash").sortWithinPartitions("hash").mapInArrow(_grouped(span), SPANS)
     owner = F.coalesce("id", F.lit(LAST_ID))
-    often = W.resolve_hot(W.hot_rows(rows, W.word_symbols, shared, k, span), F.min(owner), F.min, lambda v: v < owner, span)
+    often = W.resolve_hot(W.hot_rows(rows, W.word_symbols, lambda a, at, _: _windows(a, at, span), shared, k, span), F.min(owner), F.min, lambda v: v < owner, _few, _single, span, most)
     return usual.unionByName(often)
 
 

@@ -7,7 +7,8 @@ comparison takes a logarithmic number of steps.  The extensions of neighbours in
 byte; a group whose hashes collided is sorted again by its bytes.  A window that starts ``o`` bytes before its anchor occurs elsewhere
 if another occurrence agrees on ``o`` bytes before and on the rest after; both classes follow from the sorted orders.
 
-Anchors that may occur very often go through ``windows.resolve_hot``, by the same windows' hashes, pre-aggregated.
+Anchors that may occur very often go through ``windows.resolve_hot``: equal surroundings are counted first, then distinct ones sorted
+in the same way; only where those are too many for a task are they spread by their windows' hashes.
 Matches stay within a text because windows do.  Strings are judged on the input.
 
 Defined cases: null texts count as empty; texts shorter than the string keep all; every row is a text of its own, repeated
@@ -134,16 +135,20 @@ def repeated(group: np.ndarray, left: np.ndarray, contexts: list[bytes], count:
     return low, high
 
 
+def _around(a: W.Anchors, at: np.ndarray, raw: list[bytes], span: int) -> list[bytes]:
+    """The bytes that the windows of each of the anchors cover."""
+    return [raw[t][x : y + span] for t, x, y in zip(a.text[at].tolist(), a.first[at].tolist(), a.last[at].tolist(), strict=True)]
+
+
 def _emit(shared: tuple, k: int, span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, name, raw = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id"), batch.column("raw").to_pylist()
-            for a in W.anchors([W.byte_symbols(x) for x in raw], k, span):
+            for a in W.anchors(map(W.byte_symbols, raw), k, span):
                 again, hot = W.marked(shared, a.hash)
                 at = np.flatnonzero(again & ~hot)
-                text, first, last = a.text[at], a.first[at], a.last[at]
-                around = [raw[t][x : y + span] for t, x, y in zip(text, first, last, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(key[text]), name.take(pa.array(text)), pa.array(a.hash[at].view(np.int64)), pa.array(a.at[at], pa.int32()), pa.array(first, pa.int32()), pa.array(around, pa.binary())], names=["key", "id", "hash", "at", "first", "around"])
+                text, first = a.text[at], a.first[at]
+                yield pa.RecordBatch.from_arrays([pa.array(key[text]), name.take(pa.array(text)), pa.array(a.hash[at].view(np.int64)), pa.array(a.at[at], pa.int32()), pa.array(first, pa.int32()), pa.array(_around(a, at, raw, span), pa.binary())], names=["key", "id", "hash", "at", "first", "around"])
 
     return run
 
@@ -171,14 +176,44 @@ def _solve(span: int):
     return lambda batches: W.grouped(batches, solve)
 
 
+def _few(span: int):
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        bodies, left = table.column("body").to_pylist(), table.column("before").to_numpy().astype(np.int64)
+        low, high = repeated(table.column("hash").to_numpy(), left, bodies, table.column("own").to_numpy(), span)
+        sizes = np.array([len(x) - span + 1 for x in bodies], np.int64)
+        first = np.cumsum(sizes) - sizes
+        flat = np.ones(sizes.sum(), np.int64)
+        often = np.flatnonzero(high >= 0)
+        flat[first[often] + left[often] - high[often]] = 2
+        flat[first[often] + left[often] - low[often]] = 2
+        return W.values_batch(table, flat, sizes)
+
+    return lambda batches: W.grouped(batches, solve)
+
+
+def _single(span: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                raw = part.column("body").to_pylist()
+                sizes = np.array([len(x) for x in raw], np.int64)
+                places = sizes - span + 1
+                hashes = W.gram_hash(W.prefix_hash(W.byte_symbols(b"".join(raw))), span).view(np.int64)
+                at = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(places) - places), places) + np.arange(places.sum())
+                yield W.single_batch(part, hashes[at], places)
+
+    return run
+
+
 SPANS = "key long, id long, start int, stop int"
 
 
-def spans(rows: DataFrame, *, span: int = 200, k: int = 64, hot: int = 1024, bits: int | None = None) -> DataFrame:
+def spans(rows: DataFrame, *, span: int = 200, k: int = 64, hot: int = 1024, most: int = 16_384, bits: int | None = None) -> DataFrame:
     """(key, id, start, stop) in bytes: strings that also start elsewhere, of the rows that ``windows.keyed`` gives."""
-    shared = W.sketch(rows, lambda raw: (a.hash for a in W.anchors([W.byte_symbols(x) for x in raw], k, span)), bits or W.sketch_bits(rows, 1 / 5), hot)
+    shared = W.sketch(rows, lambda raw: (a.hash for a in W.anchors(map(W.byte_symbols, raw), k, span)), bits or W.sketch_bits(rows, 1 / 5), hot)
     usual = rows.mapInArrow(_emit(shared, k, span), "key long, id long, hash long, at int, first int, around binary").repartition("hash").sortWithinPartitions("hash").mapInArrow(_solve(span), SPANS)
-    often = W.resolve_hot(W.hot_rows(rows, W.byte_symbols, shared, k, span), F.count("*"), F.sum, lambda v: v > 1, span)
+    often = W.resolve_hot(W.hot_rows(rows, W.byte_symbols, lambda a, at, raw: _around(a, at, raw, span), shared, k, span), F.sum(F.size("firsts")), F.sum, lambda v: v > 1, _few(span), _single(span), span, most)
     return usual.unionByName(often)
 
 
@@ -207,3 +242,20 @@ def dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **op
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
     rows = W.keyed(df, id_col, text_col)
     return W.with_spans(rows, spans(rows, **options)).mapInArrow(_cut, RESULT)
+
+
+def cleaned(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows and columns of the input with the repeated bytes taken out of the text; what is left of a cut character goes too."""
+    names = df.columns
+    found = W.spans_by_text(spans(W.keyed(df, id_col, text_col), **options)).select(F.col("key").alias("skey"), F.col("id").alias("sid"), "spans")
+    rows = W.keyed(df, id_col, text_col, F.struct(*(F.col(c) for c in names)).alias("row"))
+    joined = rows.join(found, (F.col("key") == F.col("skey")) & F.col("id").eqNullSafe(F.col("sid")), "left").select("row", "raw", "spans")
+    schema = joined.select("row").schema.add("kept", "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [_kept(raw, W.union(cut)).decode("utf-8", "ignore") if cut else raw.decode() for raw, cut in zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string())], names=["row", "kept"])
+
+    slim = joined.withColumn("row", F.col("row").withField(text_col, F.lit(None).cast("string")))
+    return slim.mapInArrow(run, schema).select(*(F.col("kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names))

@@ -14,7 +14,7 @@ minima that are pre-aggregated (``resolve_hot``), so no task gets a large group.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -124,7 +124,7 @@ class Anchors:
         return gram_hash(self.prefix, span)
 
 
-def _chunks(texts: list[np.ndarray], span: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+def _chunks(texts: Iterable[np.ndarray], span: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
     parts, size = [], 0
     for i, symbols in enumerate(texts):
         for a in range(0, len(symbols) - span + 1, SEGMENT):
@@ -138,8 +138,8 @@ def _chunks(texts: list[np.ndarray], span: int) -> Iterator[list[tuple[int, int,
         yield parts
 
 
-def anchors(texts: list[np.ndarray], k: int, span: int) -> Iterator[Anchors]:
-    """The anchors of texts given as symbols; long texts are taken in segments that share their edges."""
+def anchors(texts: Iterable[np.ndarray], k: int, span: int) -> Iterator[Anchors]:
+    """The anchors of texts given as symbols, some texts at a time; long ones are taken in segments that share their edges."""
     for parts in _chunks(texts, span):
         symbols = np.concatenate([x for *_, x in parts])
         sizes = np.array([len(x) for *_, x in parts])
@@ -221,54 +221,81 @@ def marked(shared: tuple, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.logical_and.reduce([(row[c >> 3] >> (c & 7).astype(np.uint8) & 1).astype(bool) for row, c in zip(kind, own, strict=True)]) for kind in (again, hot))
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, id, raw): a row's key is a hash of its id and text; equal rows share it and get equal results."""
-    return df.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("raw"))
+def keyed(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(key, id, raw) and more: a row's key is a hash of its id and text; equal rows share it and get equal results."""
+    return df.select(*more, F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("raw"))
 
 
-HOT = "key long, id long, hash long, at int, first int, windows array<long>"
+HOT = "key long, id long, hash long, before int, firsts array<int>, body binary"
 
 
-def hot_rows(rows: DataFrame, symbols: Callable[[bytes], np.ndarray], shared: tuple, k: int, span: int) -> DataFrame:
-    """The occurrences of hot anchors with the hashes of their windows, as a written table in the shared folder."""
+def hot_rows(rows: DataFrame, symbols: Callable[[bytes], np.ndarray], body: Callable[[Anchors, np.ndarray, list[bytes]], list[bytes]], shared: tuple, k: int, span: int) -> DataFrame:
+    """The occurrences of hot anchors with what stands around them, as a written table in the shared folder.
+
+    ``before`` symbols of the body stand before the anchor.  Equal bodies in one text are one row, with all their places.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, name = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id")
-            texts = [symbols(x) for x in batch.column("raw").to_pylist()]
-            for a in anchors(texts, k, span):
+            key, name, raw = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id"), batch.column("raw").to_pylist()
+            for a in anchors((symbols(x) for x in raw), k, span):
                 at = np.flatnonzero(marked(shared, a.hash)[1])
                 if not len(at):
                     continue
-                w = a.window_hashes(span).view(np.int64)
-                sizes = a.last[at] - a.first[at] + 1
-                offsets = np.r_[0, np.cumsum(sizes)]
-                flat = w[np.repeat(a.low[at] - offsets[:-1], sizes) + np.arange(offsets[-1])]
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
-                text = a.text[at]
-                yield pa.RecordBatch.from_arrays([pa.array(key[text]), name.take(pa.array(text)), pa.array(a.hash[at].view(np.int64)), pa.array(a.at[at], pa.int32()), pa.array(a.first[at], pa.int32()), lists], names=["key", "id", "hash", "at", "first", "windows"])
+                found: dict[tuple, list[int]] = {}
+                for x in zip(a.text[at].tolist(), a.hash[at].view(np.int64).tolist(), (a.at[at] - a.first[at]).tolist(), body(a, at, raw), a.first[at].tolist(), strict=True):
+                    found.setdefault(x[:4], []).append(x[4])
+                text, hashes, before, bodies = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key[list(text)]), name.take(pa.array(text)), pa.array(hashes, pa.int64()), pa.array(before, pa.int32()), pa.array(list(found.values()), pa.list_(pa.int32())), pa.array(bodies, pa.binary())], names=["key", "id", "hash", "before", "firsts", "body"])
 
     path = common.scratch(rows.sparkSession, "hot")
     rows.mapInArrow(run, HOT).write.parquet(path)
     return rows.sparkSession.read.schema(HOT).parquet(path)
 
 
-def resolve_hot(hot: DataFrame, start: Column, combine: Callable[[Column], Column], removes: Callable[[Column], Column], span: int) -> DataFrame:
+VALUES = "c1 long, c2 long, vals array<long>"
+SINGLE = "c1 long, c2 long, hash long, place int, window long, own long"
+
+
+def resolve_hot(hot: DataFrame, start: Column, combine: Callable[[Column], Column], removes: Callable[[Column], Column], few: Callable, single: Callable, span: int, most: int) -> DataFrame:
     """(key, id, start, stop) of the windows of hot anchors that are to go.
 
-    ``start`` is the aggregate over rows of equal context (a count, or the least id), ``combine`` that over contexts, and ``removes`` tells from a window's combined value (``v``) and the row's own id whether it goes.  Equal contexts are
-    combined first, then the windows of distinct contexts; a window's value comes back to its contexts by a join
-    on the window's hash, whose hot keys adaptive execution may split.
+    ``start`` is the aggregate over rows of equal context (a count, or the least id), ``combine`` that over contexts, and
+    ``removes`` tells from a window's combined value and the row's own id whether it goes.  Equal contexts are combined first,
+    map-side too.  An anchor of at most ``most`` distinct contexts is solved by one task (``few``: contexts in order of hash to
+    ``VALUES``).  One of more is spread by window (``single``: contexts to ``SINGLE``): a window's value, pre-aggregated, comes back to its contexts
+    by a join on the window's hash.  Joins are on one of two hashes, the other is a condition: so both sides have exchanges of their own and adaptive
+    execution may split hot keys.
     """
-    rows = hot.withColumn("before", F.col("at") - F.col("first"))
-    contexts = rows.groupBy("hash", "before", "windows").agg(start.alias("own")).withColumn("context", F.xxhash64("hash", "before", "windows"))
-    single = contexts.select("context", "hash", "own", F.posexplode("windows").alias("place", "window"))
-    values = single.groupBy("hash", "window").agg(combine(F.col("own")).alias("v")).withColumnsRenamed({"hash": "vhash", "window": "vwindow"})
-    back = single.join(values, (F.col("window") == F.col("vwindow")) & (F.col("hash").bitwiseXOR(F.col("vhash")) == 0))
-    found = back.groupBy("context").agg(F.sort_array(F.collect_list(F.struct("place", "v"))).alias("values"))  # at most one window's length
-    joined = rows.withColumn("context2", F.xxhash64("hash", "before", "windows")).join(found, F.col("context2") == F.col("context"))
-    gone = joined.withColumn("gone", F.filter("values", lambda x: removes(x["v"]))).filter(F.size("gone") > 0)
-    return gone.select("key", "id", (F.col("first") + F.col("gone")[0]["place"]).cast("int").alias("start"), (F.col("first") + F.element_at("gone", -1)["place"] + span).cast("int").alias("stop"))
+    parts = ("hash", "before", "body")
+    rows = hot.withColumns({"k1": F.xxhash64(*parts), "k2": F.xxhash64(F.lit(1), *parts)})
+    contexts = common.settled(rows.groupBy("k1", "k2", *parts).agg(start.cast("long").alias("own")).withColumnsRenamed({"k1": "c1", "k2": "c2"}))
+    big = contexts.groupBy("hash", F.xxhash64("hash").alias("h2")).count().filter(F.col("count") > most).select(F.col("hash").alias("h1"), "h2")
+    tagged = contexts.join(big, (F.col("hash") == F.col("h1")) & (F.xxhash64("hash").bitwiseXOR(F.col("h2")) == 0), "left")
+    solved = tagged.filter("h1 is null").select("c1", "c2", *parts, "own").repartition("hash").sortWithinPartitions("hash").mapInArrow(few, VALUES)
+    spread = tagged.filter("h1 is not null").select("c1", "c2", *parts, "own").mapInArrow(single, SINGLE)
+    values = spread.groupBy("hash", "window").agg(combine(F.col("own")).alias("v")).withColumnsRenamed({"hash": "vhash", "window": "vwindow"})
+    back = spread.join(values, (F.col("window") == F.col("vwindow")) & (F.col("hash").bitwiseXOR(F.col("vhash")) == 0))
+    again = back.groupBy("c1", "c2").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "v"))), lambda x: x["v"]).alias("vals"))  # at most one window's length
+    found = solved.unionByName(again)
+    joined = rows.join(found, (F.col("k1") == F.col("c1")) & (F.col("k2").bitwiseXOR(F.col("c2")) == 0))
+    places = F.transform("vals", lambda v, i: F.when(removes(v), i))
+    gone = joined.withColumn("gone", F.filter(places, lambda i: i.isNotNull())).filter(F.size("gone") > 0)
+    ends = gone.select("key", "id", F.explode("firsts").alias("first"), F.element_at("gone", 1).alias("low"), F.element_at("gone", -1).alias("high"))
+    return ends.select("key", "id", (F.col("first") + F.col("low")).cast("int").alias("start"), (F.col("first") + F.col("high") + span).cast("int").alias("stop"))
+
+
+def values_batch(table: pa.Table, flat: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    """``VALUES`` for contexts and their windows' values, one after another."""
+    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+    return pa.RecordBatch.from_arrays([table.column("c1").combine_chunks(), table.column("c2").combine_chunks(), pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int64)))], names=["c1", "c2", "vals"])
+
+
+def single_batch(batch: pa.RecordBatch, flat: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    """``SINGLE`` for contexts and their windows' hashes, one after another."""
+    row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("c1", "c2", "hash")), pa.array(place.astype(np.int32)), pa.array(flat), batch.column("own").take(row)], names=["c1", "c2", "hash", "place", "window", "own"])
 
 
 def grouped(batches: Iterator[pa.RecordBatch], solve) -> Iterator[pa.RecordBatch]:
