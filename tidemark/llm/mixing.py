@@ -59,11 +59,11 @@ def targets(sizes: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: floa
     )
 
 
-def mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, max_epochs: int = 2, seed: int = 0, bin_digits: int = 3) -> DataFrame:
-    """The kept columns and size, source_size, target, taken.  ``_whole`` copies and ``_extra`` words make up ``taken``."""
-    keep = keep or [id_col]
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
-    rows = df.select(F.struct(*keep).alias("_row"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), _source_key(F.col(source_col)).alias("_key"), order.alias("_order"), words(F.col(text_col)).alias("size"))
+def _planned(df: DataFrame, row: Column, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, max_epochs: int = 2, seed: int = 0, bin_digits: int = 3) -> DataFrame:
+    """_row, size, source_size, target, _whole and _extra: whole copies and words besides that are taken."""
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
+    rows = df.select(row.alias("_row"), name.alias("_id"), _source_key(F.col(source_col)).alias("_key"), order.alias("_order"), words(F.col(text_col)).alias("size"))
     rows = rows.withColumn("_bin", F.substring("_order", 1, bin_digits))
     bins = rows.groupBy("_key", "_bin").agg(F.sum("size").alias("_bin_size"))
     sizes = bins.groupBy("_key").agg(F.sum("_bin_size").alias("source_size"))
@@ -73,15 +73,22 @@ def mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source
     in_bin = Window.partitionBy("_key", "_bin").orderBy("_order", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("_before_bin") + F.coalesce(F.sum("size").over(in_bin), F.lit(0))
     out = rows.join(placed, ["_key", "_bin"]).withColumn("_before", before)
-    out = out.withColumn("_extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before"))).cast("long"))
-    return out.select("_row.*", "size", "source_size", "target", (F.col("_whole") * F.col("size") + F.col("_extra")).alias("taken"), "_whole", "_extra")
+    extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before"))).cast("long")
+    return out.select("_row", "size", "source_size", "target", "_whole", extra.alias("_extra"))
+
+
+def mix(df: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The id and size, source_size, target, taken of every row; the options are those of the plan."""
+    planned = _planned(df, F.struct(F.col(id_col)), id_col=id_col, **options)
+    return planned.select(F.col("_row")[id_col].alias(id_col), "size", "source_size", "target", (F.col("_whole") * F.col("size") + F.col("_extra")).alias("taken"))
 
 
 def mixed_rows(df: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
-    """The mix itself: a row for each whole copy that is taken, and one cut to its first words for a part."""
-    columns = df.columns
-    planned = mix(df, text_col=text_col, keep=columns, **options)
+    """The mix itself, with the input's columns: a row for each whole copy that is taken, and one cut to its first words for a part."""
+    names = df.columns
+    planned = _planned(df, F.struct(*(F.col(c) for c in names)), text_col=text_col, **options).withColumn("_text", F.col("_row")[text_col])
     whole = F.col("_whole") + F.when(F.col("_extra") == F.col("size"), 1).otherwise(0)
-    part = F.when((F.col("_extra") > 0) & (F.col("_extra") < F.col("size")), F.array(F.concat_ws(" ", F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_extra").cast("int"))))).otherwise(F.array().cast("array<string>"))
-    copies = F.concat(F.array_repeat(F.col(text_col), F.when(F.col("size") > 0, whole).otherwise(0).cast("int")), part)
-    return planned.withColumn(text_col, F.explode(copies)).select(*columns)
+    first_words = F.concat_ws(" ", F.slice(F.regexp_extract_all(F.col("_text"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_extra").cast("int")))
+    part = F.when((F.col("_extra") > 0) & (F.col("_extra") < F.col("size")), F.array(first_words)).otherwise(F.array().cast("array<string>"))
+    copies = F.concat(F.array_repeat(F.col("_text"), F.when(F.col("size") > 0, whole).otherwise(0).cast("int")), part)
+    return planned.select("_row", F.explode(copies).alias("_text")).select(*(F.col("_text").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names))

@@ -31,6 +31,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # Fixed values: the kinds of pieces in a model file.
@@ -245,7 +246,7 @@ def encode(df: DataFrame, model_path: str, *, text_col: str = "text", ids_col: s
     """The kept columns (all but the text where none are named) and the ids of each text."""
     keep = [c for c in df.columns if c != text_col] if keep is None else keep
     shared = df.sparkSession.sparkContext.broadcast(Model.load(model_path))
-    schema = df.select(*keep).schema.add(ids_col, "array<int>")
+    schema = df.select(*keep).schema.add(ids_col, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(shared.value)

@@ -231,9 +231,9 @@ def learn(documents: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, le
     return Model(terms, exceptions, *map(float, fitted))
 
 
-def score(df: DataFrame, model: Model, *, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The kept columns and ``score``, the probability of label 1."""
-    schema = df.select(*keep).schema.add("score", "double")
+def score(df: DataFrame, model: Model, *, keep: list[str], text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """The kept columns and the score, the probability of label 1."""
+    schema = df.select(*keep).schema.add(score_col, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.terms, model.exceptions)
@@ -242,11 +242,17 @@ def score(df: DataFrame, model: Model, *, keep: list[str], text_col: str = "text
             for text in batch.column(len(keep)).to_pylist():
                 a, b = _x(*matcher.features(text))
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, model.bias + model.total * a + model.dense * b)))))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(scores, pa.float64())], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(scores, pa.float64())], names=[*keep, score_col])
 
     return df.select(*keep, F.col(text_col).cast("string").alias("_scored_text")).mapInArrow(run, schema)
 
 
+def clean(documents: DataFrame, labels: DataFrame, *, threshold: float = 0.7, **options) -> DataFrame:
+    """The rows whose score stays below the threshold, with the input's columns."""
+    model = learn(documents, labels, **options)
+    return score(documents, model, keep=documents.columns, score_col="_toxicity").filter(F.col("_toxicity") < threshold).drop("_toxicity")
+
+
 def toxicity(documents: DataFrame, labels: DataFrame, *, threshold: float = 0.7, **options) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     model = learn(documents, labels, **options)
