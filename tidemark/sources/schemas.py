@@ -12,8 +12,20 @@ PRICE = T.DecimalType(18, 8)
 TOTAL = T.DecimalType(38, 8)
 
 
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_PLAIN = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "binary": T.BinaryType(), "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "date": T.DateType(), "decimal(18,8)": PRICE, "decimal(38,8)": TOTAL}
+
+
+def _type(text: str) -> T.DataType:
+    if text.startswith("array<"):
+        return T.ArrayType(_type(text[6:-1]))
+    if text.startswith("map<string,"):
+        return T.MapType(T.StringType(), _type(text[11:-1]))
+    return _PLAIN[text]
+
+
+def struct(text: str) -> T.StructType:
+    """Fields written as ``name type, ...``; unlike Spark's own parser this needs no session."""
+    return T.StructType([T.StructField(*(name, _type(kind))) for name, kind in (f.split(" ", 1) for f in text.split(", "))])
 
 
 # Field names and types of the published trade, quote, reference and candle formats.
@@ -24,8 +36,6 @@ CANDLE = struct("exchange string, symbol string, window_start timestamp, window_
 RAW = struct("value binary, topic string, partition int, offset bigint, kafka_timestamp timestamp, ingestion_timestamp timestamp, ingestion_date date")
 DEAD = struct("raw_record string, error_reason string, error_type string, bronze_source string, failed_at timestamp, dlq_date date")
 
-BINANCE = struct("e string, E bigint, s string, t bigint, p string, q string, T bigint, m boolean, M boolean, b bigint, a bigint")
-KRAKEN = struct("channel_id bigint, price string, volume string, timestamp string, side string, order_type string, misc string, pair string")
 COINBASE = struct("trade_id string, product_id string, price string, size string, time string, side string, sequence_num bigint")
 
 ASSET_CLASSES = ("equities", "crypto", "futures", "options")

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import normalize as N
 from tidemark.operators import quality as Q
-from tidemark.sources.schemas import BINANCE, COINBASE, KRAKEN
+from tidemark.sources.schemas import COINBASE
 
 
 def _silver(df: DataFrame, **columns: Column) -> DataFrame:
@@ -23,12 +23,14 @@ def _silver(df: DataFrame, **columns: Column) -> DataFrame:
 
 def binance(df: DataFrame) -> DataFrame:
     """Raw JSON text in ``value`` to silver; other events than trades are left out."""
-    m = F.from_json(F.col("value").cast("string"), BINANCE)
-    d = df.withColumn("m", m).filter((F.col("m.e") == "trade") & (F.coalesce(F.col("m.s"), F.lit("")) != ""))
+    # Keys differ by case only, so the message is read as a map.
+    d = df.withColumn("m", F.from_json(F.col("value").cast("string"), "map<string,string>"))
+    at = lambda key, kind="string": F.col("m")[key].try_cast(kind)
+    d = d.filter((at("e") == "trade") & (F.coalesce(at("s"), F.lit("")) != ""))
     return _silver(
-        d, exchange=F.lit("binance"), symbol=F.col("m.s"), canonical_symbol=N.joined_canonical(F.col("m.s")), trade_id=F.concat(F.lit("BINANCE-"), F.col("m.t")),
-        timestamp=F.col("m.T") * 1000, price=N.decimal(F.col("m.p")), quantity=N.decimal(F.col("m.q")), side=N.maker_side(F.col("m.m")), source_sequence=F.col("m.t"),
-        vendor_data=F.map_filter(F.create_map(F.lit("is_buyer_maker"), F.col("m.m").cast("string"), F.lit("event_type"), F.col("m.e")), lambda k, v: v.isNotNull()),
+        d, exchange=F.lit("binance"), symbol=at("s"), canonical_symbol=N.joined_canonical(at("s")), trade_id=F.concat(F.lit("BINANCE-"), at("t")),
+        timestamp=at("T", "bigint") * 1000, price=N.decimal(at("p")), quantity=N.decimal(at("q")), side=N.maker_side(at("m", "boolean")), source_sequence=at("t", "bigint"),
+        vendor_data=F.map_filter("m", lambda k, v: k.isin("m", "M", "b", "a") & v.isNotNull()),
     )
 
 
