@@ -7,9 +7,10 @@ the maxima of registers, and two sets agree in one with about the probability of
 1. Band keys of all documents go into merged partition sketches (``windows.sketch``); a document none of whose keys occurs again has no partner and
    goes no further than its size.  The others' registers and sets are written to the shared folder.
 2. Documents with equal sets are one class, named by its smallest id; only the class goes on.
-3. Each class is compared with the smallest class of its buckets, one each; then, where a bucket holds several components, with
-   pivots drawn anew; in the end all pairs of a bucket that lie in different components and weren't compared.  So each pair that
-   shares a bucket is compared or already connected: no link among them is lost, and a group of copies costs a
+3. Each class is compared with the smallest class of its buckets, one each; then, where a bucket holds several components, all
+   its pairs that lie in different ones, weren't compared, and aren't ruled out by bitmaps of their sets, which bound what
+   they share (``_possible``).  So each pair that
+   shares a bucket is compared, ruled out or already connected: no link among them is lost, and a group of copies costs a
    comparison for each copy, not for each pair.
 4. A comparison first estimates the similarity by maximum likelihood from the registers that are greater, equal and smaller, given
    both sizes; what lies ``margin`` standard errors below the threshold is left out.  The rest is verified on full sets.
@@ -166,37 +167,81 @@ def _estimated(threshold: float, margin: float):
     return run
 
 
-def _verified(threshold: float):
-    share = round(threshold * 100)
+def _both(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Which members of the sorted set p are in the sorted set q."""
+    return q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-                p, q = unpack(x), unpack(y)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                both = int((q[at] == p).sum())
-                good.append(100 * both >= share * (len(p) + len(q) - both))
-            keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    return run
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [(unpack(x), unpack(y)) for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True)]
+        both = [int(_both(p, q).sum()) for p, q in sets]
+        sizes = [pa.array([len(s[i]) for s in sets], pa.int64()) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), *sizes], names=["a", "b", "both", "size_a", "size_b"])
+
+
+MARKS = 16  # of 64 bits
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets as bitmaps: a bit is set if a shingle falls on it."""
+    for batch in batches:
+        marks = np.zeros((batch.num_rows, MARKS * 8), np.uint8)
+        for row, packed in zip(marks, batch.column("shingles").to_pylist(), strict=True):
+            bits = np.zeros(MARKS * 64, bool)
+            bits[(unpack(packed) % U(MARKS * 64)).astype(np.int64)] = True
+            row[:] = np.packbits(bits, bitorder="little")
+        words = marks.view(np.int64)
+        bits = pa.array(np.unpackbits(marks, axis=1).sum(axis=1).astype(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("of"), bits, *(pa.array(words[:, i]) for i in range(MARKS))], names=["of", "bits", *(f"m{i}" for i in range(MARKS))])
+
 
+def _ends(documents: DataFrame, column: str, name: str) -> list[DataFrame]:
+    known = documents.filter(F.col("regs").isNotNull())
+    return [known.select(F.col("id").alias(f"id_{e}"), F.col("n").alias(f"n_{e}"), F.col(column).alias(f"{name}_{e}")) for e in "ab"]
 
-def _linked(pairs: DataFrame, documents: DataFrame, threshold: float, margin: float) -> DataFrame:
-    """The pairs (a, b) of classes that are similar, settled."""
-    regs = documents.filter(F.col("regs").isNotNull())
-    ends = [regs.select(F.col("id").alias(f"id_{e}"), F.col("n").alias(f"n_{e}"), F.col("regs").alias(f"regs_{e}")) for e in "ab"]
-    likely = pairs.join(ends[0], F.col("a") == F.col("id_a")).join(ends[1], F.col("b") == F.col("id_b")).select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_estimated(threshold, margin), "a long, b long")
-    likely = common.settled(likely)
-    sets = [regs.select(F.col("id").alias(f"id_{e}"), F.col("shingles").alias(f"set_{e}")) for e in "ab"]
-    full = likely.join(sets[0], F.col("a") == F.col("id_a")).join(sets[1], F.col("b") == F.col("id_b")).select("a", "b", "set_a", "set_b")
-    return common.settled(full.mapInArrow(_verified(threshold), "a long, b long"))
 
+def _met(pairs: DataFrame, ends: list[DataFrame]) -> DataFrame:
+    return pairs.join(ends[0], F.col("a") == F.col("id_a")).join(ends[1], F.col("b") == F.col("id_b"))
 
-def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8, margin: float = 6.0, rounds: int = 2, bits: int | None = None) -> DataFrame:
+
+def _compared(pairs: DataFrame, documents: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """(a, b, both, size_a, size_b) of the pairs of classes that are likely similar, measured on full sets; settled."""
+    likely = _met(pairs.select("a", "b"), _ends(documents, "regs", "regs")).select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_estimated(threshold, margin), "a long, b long")
+    full = _met(common.settled(likely), _ends(documents, "shingles", "set")).select("a", "b", "set_a", "set_b")
+    return common.settled(full.mapInArrow(_measured, "a long, b long, both long, size_a long, size_b long"))
+
+
+def _links(compared: DataFrame, threshold: float) -> DataFrame:
+    return compared.filter(100 * F.col("both") >= round(threshold * 100) * (F.col("size_a") + F.col("size_b") - F.col("both"))).select("a", "b")
+
+
+def _possible(open_rows: DataFrame, documents: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of classes that share a bucket, lie in different components, and may be similar.
+
+    Each bit that x's bitmap has beyond y's tells a shingle of x that y lacks.  So x and y share at most x's size less those bits, and a pair
+    for which that doesn't reach the threshold, from either side, is left out.  A pair is made in the first of the buckets it shares only.
+    """
+    nodes = open_rows.groupBy("node").agg(F.min("label").alias("label"), F.sort_array(F.collect_set("bucket")).alias("all"))  # at most one for each band
+    known = documents.filter(F.col("shingles").isNotNull())
+    sets = nodes.select("node").join(known, F.col("node") == F.col("id")).select(F.col("node").alias("of"), "shingles")
+    marks = sets.mapInArrow(_marked, "of long, bits long, " + ", ".join(f"m{i} long" for i in range(MARKS)))
+    sizes = known.select(F.col("id").alias("at"), "n")
+    rows = common.settled(nodes.join(marks, F.col("node") == F.col("of")).drop("of").join(sizes, F.col("node") == F.col("at")).drop("at").withColumn("bucket", F.explode("all")))
+    other = rows.select(*(F.col(c).alias(f"{c}_2") for c in rows.columns))
+    share = threshold / (1 + threshold)
+
+    lacks = F.lit(0)  # bits of the first beyond the second; the second's beyond the first are as many more as it has more bits
+    for i in range(MARKS):
+        lacks = lacks + F.bit_count(F.col(f"m{i}").bitwiseAND(F.bitwise_not(F.col(f"m{i}_2"))))
+    most = F.least(F.col("n"), F.col("n_2") + F.col("bits") - F.col("bits_2")) - lacks
+    reaches = most >= share * (F.col("n") + F.col("n_2")) - 1e-6
+    in_first = F.array_min(F.array_intersect("all", "all_2")) == F.col("bucket")
+    met = rows.join(other, (F.col("bucket") == F.col("bucket_2")) & (F.col("node") < F.col("node_2")) & (F.col("label") != F.col("label_2")) & reaches & in_first)
+    return met.select(F.col("node").alias("a"), F.col("node_2").alias("b"))
+
+
+def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8, margin: float = 6.0, bits: int | None = None) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("raw"))
@@ -215,26 +260,24 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     least = banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).filter("size > 1").select(F.col("bucket").alias("of"), "pivot")
     buckets = common.settled(banded.join(least, F.col("bucket") == F.col("of")).select("bucket", "node", "pivot"))
 
-    edges = _linked(buckets.filter("node <> pivot").groupBy(F.col("node").alias("b")).agg(F.min("pivot").alias("a")), documents, threshold, margin)
-    tested = None
-    for turn in range(rounds + 1):
-        labels = components(edges)
-        seen = buckets.select("bucket", "node").join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-        mixed = seen.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(turn), "node")).alias("p")).filter("low < high").select(F.col("bucket").alias("of"), "p")
-        open_rows = common.settled(seen.join(mixed, F.col("bucket") == F.col("of")).select("bucket", "node", "label", "p"))
-        if turn < rounds:
-            found = open_rows.filter(F.col("label") != F.col("p.label")).select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
-        else:
-            other = open_rows.select(F.col("bucket").alias("of"), F.col("node").alias("node2"), F.col("label").alias("label2"))
-            found = open_rows.join(other, (F.col("bucket") == F.col("of")) & (F.col("node") < F.col("node2")) & (F.col("label") != F.col("label2"))).select(F.col("node").alias("a"), F.col("node2").alias("b"))
-        pairs = found.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = common.settled(pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        edges = edges.unionByName(_linked(pairs, documents, threshold, margin))
-    labels = components(edges)
-    groups = named.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(F.col("id").alias("member"), F.coalesce("label", "node").alias("component"))
+    first = _compared(buckets.filter("node <> pivot").groupBy(F.col("node").alias("b")).agg(F.min("pivot").alias("a")), documents, threshold, margin)
+    labels = components(_links(first, threshold))
+    seen = buckets.select("bucket", "node").join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    mixed = seen.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select(F.col("bucket").alias("of"))
+    open_rows = seen.join(mixed, F.col("bucket") == F.col("of")).select("bucket", "node", "label")
+    pairs = common.settled(_possible(common.settled(open_rows), documents, threshold).join(first.select("a", "b"), ["a", "b"], "left_anti"))
+    # The second round's links join the first one's components, so only these are put together.
+    own = [labels.select(F.col("node").alias(f"of_{e}"), F.col("label").alias(f"label_{e}")) for e in "ab"]
+    ends = _links(_compared(pairs, documents, threshold, margin), threshold).join(own[0], F.col("a") == F.col("of_a"), "left").join(own[1], F.col("b") == F.col("of_b"), "left")
+    wider = components(ends.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")))
+    groups = named.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("id", F.coalesce("label", "node").alias("group"))
+    groups = groups.join(wider.select(F.col("node").alias("of"), F.col("label").alias("wide")), F.col("group") == F.col("of"), "left").select(F.col("id").alias("member"), F.coalesce("wide", "group").alias("component"))
     out = documents.select("id", "n").join(groups, F.col("id") == F.col("member"), "left")
     component = F.coalesce("component", "id")
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def representatives(df: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows, with all their columns, of one document of each group: the one with the smallest id."""
+    gone = near_duplicates(df, id_col=id_col, **options).filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct()
+    return df.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
