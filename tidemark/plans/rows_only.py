@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from tidemark.operators import candles as C
 from tidemark.plans.offload import offload
 from tidemark.sources import views as V
 from tidemark.sources.readers import file_stream
+from tidemark.sources.scratch import scratch
 from tidemark.sources.schemas import TableSpec, struct
 from tidemark.sources.store import Store
 from tidemark.streaming import medallion as M
@@ -19,14 +18,6 @@ from tidemark.streaming.sequence import sequence_stream
 TICKS = TableSpec("ticks", struct("seq bigint, symbol string, exchange string, price decimal(18,8), quantity decimal(18,8), ts timestamp_ntz, trade_id string, day date"), ("day",), ("ts", "seq"), 365, ("trade_id",))
 
 
-def _folder(spark: SparkSession) -> str:
-    """A folder that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    import uuid
-
-    return f"{base}/tidemark-{uuid.uuid4().hex}"
-
-
 def _ticks(spark: SparkSession, d: str) -> DataFrame:
     t = V.trades(spark, d)
     return t.select("seq", "symbol", "exchange", "price", "quantity", "ts", "trade_id", F.to_date("ts").alias("day"))
@@ -34,7 +25,7 @@ def _ticks(spark: SparkSession, d: str) -> DataFrame:
 
 def _stream(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
     """The trades as a stream of files, times as streams need them."""
-    root = _folder(spark)
+    root = scratch(spark)
     t = V.trades(spark, d).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("message_id", F.col("trade_id"))
     t.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(f"{root}/in")
     return file_stream(spark, f"{root}/in", t.schema), root
@@ -53,7 +44,7 @@ def stream_candles(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     s, root = _stream(spark, d)
-    twice, other = s.select("message_id", "exchange", "symbol", "ts"), None
+    twice = s.select("message_id", "exchange", "symbol", "ts")
     other = _stream(spark, d)[0].select("message_id", "exchange", "symbol", "ts")
     return _drained(M.gold(twice, other, lateness="1 day"), root)
 
@@ -71,7 +62,7 @@ def stream_dead_letters(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snapshot_time_travel(spark: SparkSession, d: str) -> DataFrame:
-    t, store = _ticks(spark, d), Store(spark, _folder(spark), TICKS)
+    t, store = _ticks(spark, d), Store(spark, scratch(spark), TICKS)
     first = store.append(t.filter("seq % 2 = 0"), "even")
     store.append(t.filter("seq % 2 = 1"), "odd")
     store.append(t.filter("seq % 2 = 1"), "odd")  # once more: adds nothing
@@ -79,7 +70,7 @@ def snapshot_time_travel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def compaction(spark: SparkSession, d: str) -> DataFrame:
-    t, store = _ticks(spark, d), Store(spark, _folder(spark), TICKS)
+    t, store = _ticks(spark, d), Store(spark, scratch(spark), TICKS)
     for i in range(3):
         store.append(t.filter(f"seq % 3 = {i}"))
     store.compact()
@@ -87,7 +78,7 @@ def compaction(spark: SparkSession, d: str) -> DataFrame:
 
 
 def incremental_offload(spark: SparkSession, d: str) -> DataFrame:
-    t, store = _ticks(spark, d), Store(spark, _folder(spark), TICKS)
+    t, store = _ticks(spark, d), Store(spark, scratch(spark), TICKS)
     for until in ("2024-01-15 00:00:00", "2024-02-15 00:00:00", "2024-02-15 00:00:00"):
         offload(t, store, "ticks", ts="ts", seq="seq", now=F.lit(until).cast("timestamp_ntz"))
     return store.read().groupBy("exchange", "symbol").agg(F.count("*").alias("n"), F.max("seq").alias("last"))
@@ -96,7 +87,7 @@ def incremental_offload(spark: SparkSession, d: str) -> DataFrame:
 def candle_upsert_store(spark: SparkSession, d: str) -> DataFrame:
     t = V.trades(spark, d).filter("quantity > 0")
     bars = C.candles(t, "1d").drop("vwap").withColumn("window_date", F.to_date("window_start"))
-    store = Store(spark, _folder(spark), TableSpec("bars", bars.schema, ("window_date",), ("exchange", "symbol"), None, ("exchange", "symbol", "window_start")))
+    store = Store(spark, scratch(spark), TableSpec("bars", bars.schema, ("window_date",), ("exchange", "symbol"), None, ("exchange", "symbol", "window_start")))
     store.upsert(bars.filter("window_date < date'2024-01-20'"))
     store.upsert(bars.filter("window_date >= date'2024-01-10'"))
     return store.read().groupBy("exchange").agg(F.count("*").alias("bars"), F.sum("trade_count").alias("trades"))
