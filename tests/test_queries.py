@@ -85,6 +85,21 @@ def test_as_of_takes_the_last_quote_at_or_before(spark):
     assert sorted((r.seq, r.bid) for r in J.as_of(t, q, keys=["symbol"], columns=["bid"]).collect()) == [(1, 10), (2, None), (3, None)]
 
 
+@pytest.mark.parametrize("width", [1, 7, 86_400])
+def test_as_of_does_not_depend_on_its_buckets(spark, width):
+    from random import Random
+
+    r = Random(9)
+    t = [(r.choice("AB"), BASE + timedelta(seconds=r.randrange(60)), i) for i in range(80)]
+    q = [(r.choice("AB"), BASE + timedelta(seconds=r.randrange(60)), i, r.choice([None, i])) for i in range(30)]
+    out = J.as_of(spark.createDataFrame(t, "symbol string, ts timestamp_ntz, seq long"), spark.createDataFrame(q, "symbol string, ts timestamp_ntz, seq long, bid int"), keys=["symbol"], columns=["bid"], bucket_seconds=width)
+    want = {}
+    for s, at, i in t:
+        before = [x for x in q if x[0] == s and x[1] <= at]
+        want[i] = max(before, key=lambda x: (x[1], x[2]))[3] if before else None
+    assert {x.seq: x.bid for x in out.collect()} == want
+
+
 def test_sequence_events(spark):
     numbers = [1, 2, 5, 30, 29, 30, 31, 3, 4, 4]
     df = spark.createDataFrame([("x", "A", BASE + timedelta(seconds=i), i, q) for i, q in enumerate(numbers)], "exchange string, symbol string, ts timestamp_ntz, at long, q long")

@@ -11,17 +11,25 @@ def exact(trades: DataFrame, quotes: DataFrame, keys: list[str]) -> DataFrame:
     return trades.join(quotes, keys, "left")
 
 
-def as_of(left: DataFrame, right: DataFrame, *, keys: list[str], ts: str = "ts", seq: str = "seq", columns: list[str]) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, *, keys: list[str], ts: str = "ts", seq: str = "seq", columns: list[str], bucket_seconds: int = 86_400) -> DataFrame:
     """Each left row with the named columns of the last right row of its key at or before its time.
 
-    Both sides are stacked and one window carries the last right row forward: one shuffle, no pairs are made, and a key's rows need
-    not fit in memory.  A right row of the same time comes before; the sequence orders right rows of one time.
+    Time is cut into buckets, so a key with most rows is dealt over many tasks.  A bucket starts with the last right row of the buckets before,
+    found among pre-aggregated rows of one a bucket; within it both sides are stacked and one window carries the last right
+    row forward.  No pairs are made.  A right row of the same time comes before; the sequence orders right rows of one time.
     """
-    l = left.select(F.struct("*").alias("_row"), *keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), F.col(seq).alias("_s"), F.lit(None).cast(right.select(F.struct(*columns).alias("_c")).schema["_c"].dataType).alias("_c"))
-    r = right.select(F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), *keys, F.col(ts).alias("_t"), F.lit(0).alias("_side"), F.col(seq).alias("_s"), F.struct(*columns).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("_t", "_side", "_s").rowsBetween(Window.unboundedPreceding, 0)
-    carried = l.unionByName(r).withColumn("_c", F.last("_c", ignorenulls=True).over(w)).filter("_side = 1")
-    return carried.select("_row.*", *(F.col(f"_c.{c}").alias(c) for c in columns))
+    bucket = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / int(bucket_seconds)).alias("_bucket")
+    value = F.struct(F.struct(*columns).alias("c")).alias("_c")  # a struct around, so null columns are values too
+    r = right.select(*keys, bucket, F.col(ts).alias("_t"), F.lit(1).alias("_side"), F.col(seq).alias("_s"), value)
+    l = left.select(F.struct("*").alias("_row"), *keys, bucket, F.col(ts).alias("_t"), F.lit(2).alias("_side"), F.col(seq).alias("_s"))
+    last = r.groupBy(*keys, "_bucket").agg(F.max_by("_c", F.struct("_t", "_s")).alias("_c"))
+    wanted = last.unionByName(l.select(*keys, "_bucket").distinct(), allowMissingColumns=True).groupBy(*keys, "_bucket").agg(F.max("_c").alias("_c"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    opening = wanted.select(*keys, "_bucket", F.lit(0).alias("_side"), F.last("_c", ignorenulls=True).over(earlier).alias("_c")).filter("_c is not null")
+    stacked = l.unionByName(r, allowMissingColumns=True).unionByName(opening, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "_bucket").orderBy(F.col("_t").asc_nulls_first(), "_side", "_s").rowsBetween(Window.unboundedPreceding, 0)
+    carried = stacked.withColumn("_c", F.last("_c", ignorenulls=True).over(w)).filter("_side = 2")
+    return carried.select("_row.*", *(F.col(f"_c.c.{c}").alias(c) for c in columns))
 
 
 def interval(left: DataFrame, right: DataFrame, *, keys: list[str], seconds: int, ts: str = "ts", columns: list[str]) -> DataFrame:
