@@ -84,6 +84,17 @@ def incremental_offload(spark: SparkSession, d: str) -> DataFrame:
     return store.read().groupBy("exchange", "symbol").agg(F.count("*").alias("n"), F.max("seq").alias("last"))
 
 
+LOTS = TableSpec("lots", struct("symbol string, exchange string, ts timestamp_ntz, seq bigint, price decimal(18,8), quantity decimal(18,8), month string"), ("month",), ("ts", "seq"), None, ("symbol", "ts", "seq"))
+
+
+def full_load(spark: SparkSession, d: str) -> DataFrame:
+    """All line items into a fresh table by month, in time order within files, and what its snapshot says."""
+    lots = V.daily(spark, d).withColumn("month", F.date_format("ts", "yyyy-MM"))
+    store = Store(spark, scratch(spark), LOTS)
+    store.append(lots, "all")
+    return store.files().groupBy("part").agg(F.count("*").alias("files"))
+
+
 def candle_upsert_store(spark: SparkSession, d: str) -> DataFrame:
     t = V.trades(spark, d).filter("quantity > 0")
     bars = C.candles(t, "1d").drop("vwap").withColumn("window_date", F.to_date("window_start"))
@@ -93,4 +104,4 @@ def candle_upsert_store(spark: SparkSession, d: str) -> DataFrame:
     return store.read().groupBy("exchange").agg(F.count("*").alias("bars"), F.sum("trade_count").alias("trades"))
 
 
-QUERIES = {f.__name__: f for f in (stream_candles, stream_dedup, stream_sequence, stream_dead_letters, snapshot_time_travel, compaction, incremental_offload, candle_upsert_store)}
+QUERIES = {f.__name__: f for f in (stream_candles, stream_dedup, stream_sequence, stream_dead_letters, snapshot_time_travel, compaction, incremental_offload, full_load, candle_upsert_store)}
