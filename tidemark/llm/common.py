@@ -63,6 +63,13 @@ def scan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def slices(batches, rows: int = 1000):
+    """Batches cut smaller, so that a task holds a thousand texts as Python objects at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def open_fs(uri: str):
     """(pyarrow file system, path) for any URI that pyarrow knows: file, hdfs, s3, gs."""
     from pyarrow import fs

@@ -120,7 +120,7 @@ def _write(shared: tuple, words: int):
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("regs", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches, 2000):
             ids, rows, own, first = batch.column("id").to_pylist(), [], [], {}
             for i, raw in enumerate(batch.column("raw").to_pylist()):
                 found = shingles(raw, words)

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import common
+
 FRAME = 576
 PACKET = 16 * FRAME
 RATE = 8000
@@ -132,7 +134,7 @@ def store(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> D
     """(id, media): each text as an Ogg file in a binary column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             media = [encode(padded(x or b""), len(x or b"")) for x in batch.column("raw").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(media, pa.binary())], names=["id", "media"])
 
@@ -155,7 +157,7 @@ def probe(stored: DataFrame) -> DataFrame:
         return got["n_bytes"], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             rows = [row(x) for x in batch.column("media").to_pylist()]
             columns = [batch.column("id"), *(pa.array([r[i] for r in rows], pa.string() if names[i + 1] in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for i in range(7))]
             yield pa.RecordBatch.from_arrays(columns, names=names)

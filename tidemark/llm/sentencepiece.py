@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm import common
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # Fixed values: the kinds of pieces in a model file.
 UNKNOWN_PENALTY = 10.0
@@ -250,7 +252,7 @@ def encode(df: DataFrame, model_path: str, *, text_col: str = "text", ids_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(shared.value)
-        for batch in batches:
+        for batch in common.slices(batches):
             ids = [c.encode(t) for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(ids, pa.list_(pa.int32()))], names=[*keep, ids_col])
 
@@ -283,7 +285,7 @@ def digest(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(shared.value)
         low, high = min(c.byte_id), max(c.byte_id)
-        for batch in batches:
+        for batch in common.slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 ids = array("i", c.encode(text))

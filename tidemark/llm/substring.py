@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import common
 from tidemark.llm import windows as W
 
 LAST_ID = (1 << 63) - 1
@@ -35,7 +36,7 @@ def _windows(a: W.Anchors, at: np.ndarray, span: int) -> list[bytes]:
 
 def _emit(shared: tuple, k: int, span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             key, name = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id")
             for a in W.anchors(map(W.word_symbols, batch.column("raw").to_pylist()), k, span):
                 again, hot = W.marked(shared, a.hash)
@@ -100,7 +101,7 @@ RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in common.slices(batches):
         rows = []
         for raw, spans in zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             words = raw.split()

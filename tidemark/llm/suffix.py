@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import common
 from tidemark.llm import windows as W
 
 U = np.uint64
@@ -142,7 +143,7 @@ def _around(a: W.Anchors, at: np.ndarray, raw: list[bytes], span: int) -> list[b
 
 def _emit(shared: tuple, k: int, span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             key, name, raw = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id"), batch.column("raw").to_pylist()
             for a in W.anchors(map(W.byte_symbols, raw), k, span):
                 again, hot = W.marked(shared, a.hash)
@@ -229,7 +230,7 @@ def _kept(raw: bytes, cut: list[tuple[int, int]]) -> bytes:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in common.slices(batches):
         rows = []
         for raw, found in zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             cut = W.union(found)
@@ -253,7 +254,7 @@ def cleaned(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **
     schema = joined.select("row").schema.add("kept", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             kept = [_kept(raw, W.union(cut)).decode("utf-8", "ignore") if cut else raw.decode() for raw, cut in zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string())], names=["row", "kept"])
 

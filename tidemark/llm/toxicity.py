@@ -237,7 +237,7 @@ def score(df: DataFrame, model: Model, *, keep: list[str], text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.terms, model.exceptions)
-        for batch in batches:
+        for batch in common.slices(batches):
             scores = []
             for text in batch.column(len(keep)).to_pylist():
                 a, b = _x(*matcher.features(text))

@@ -14,6 +14,8 @@ minima that are pre-aggregated (``resolve_hot``), so no task gets a large group.
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -189,7 +191,7 @@ def sketch(rows: DataFrame, hashes_of: Callable[[list], Iterator[np.ndarray]], b
                         c.append(v)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["row", "block", "cells", "counts"])
 
-        for batch in batches:
+        for batch in common.slices(batches):
             for found in hashes_of(batch.column("raw").to_pylist()):
                 held.append(found)
                 size += len(found)
@@ -211,13 +213,25 @@ def sketch(rows: DataFrame, hashes_of: Callable[[list], Iterator[np.ndarray]], b
     for r in merged.toLocalIterator():  # two bits a cell and row in all
         for array, name in zip(arrays, ("again", "hot"), strict=True):
             array[r["row"]][r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r[name], np.uint8)
-    return rows.sparkSession.sparkContext.broadcast(arrays), bits
+    packed = [[zlib.compress(row.tobytes(), 1) for row in kind] for kind in arrays]
+    return rows.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, packed)), bits
+
+
+_opened: dict[str, list[list[np.ndarray]]] = {}
+
+
+def _open(shared: tuple) -> list[list[np.ndarray]]:
+    """The bit arrays of a merged sketch; a worker unpacks them once."""
+    token, packed = shared[0].value
+    if token not in _opened:
+        _opened.clear()
+        _opened[token] = [[np.frombuffer(zlib.decompress(row), np.uint8) for row in kind] for kind in packed]
+    return _opened[token]
 
 
 def marked(shared: tuple, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which hashes may occur again, and which of these may be hot."""
-    (again, hot), bits = shared[0].value, shared[1]
-    own = cells(hashes, bits)
+    (again, hot), own = _open(shared), cells(hashes, shared[1])
     return tuple(np.logical_and.reduce([(row[c >> 3] >> (c & 7).astype(np.uint8) & 1).astype(bool) for row, c in zip(kind, own, strict=True)]) for kind in (again, hot))
 
 
@@ -236,7 +250,7 @@ def hot_rows(rows: DataFrame, symbols: Callable[[bytes], np.ndarray], body: Call
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             key, name, raw = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id"), batch.column("raw").to_pylist()
             for a in anchors((symbols(x) for x in raw), k, span):
                 at = np.flatnonzero(marked(shared, a.hash)[1])
@@ -249,7 +263,7 @@ def hot_rows(rows: DataFrame, symbols: Callable[[bytes], np.ndarray], body: Call
                 yield pa.RecordBatch.from_arrays([pa.array(key[list(text)]), name.take(pa.array(text)), pa.array(hashes, pa.int64()), pa.array(before, pa.int32()), pa.array(list(found.values()), pa.list_(pa.int32())), pa.array(bodies, pa.binary())], names=["key", "id", "hash", "before", "firsts", "body"])
 
     path = common.scratch(rows.sparkSession, "hot")
-    rows.mapInArrow(run, HOT).write.parquet(path)
+    rows.mapInArrow(run, HOT).write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(HOT).parquet(path)
 
 
