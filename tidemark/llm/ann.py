@@ -5,7 +5,7 @@ as there are projected dimensions.  A query takes the leaves of a tree in order
 neighbours come out in order and their true distances are computed, until the bound on the next one is so large
 that, by the chi-square quantile, a point nearer than the k-th best would hardly lie beyond it.
 
-Rows are dealt by a hash of their id into shards of bounded size, each with a tree of its own; queries are packed into
+Rows are dealt by a hash of id and vector into shards of bounded size, each with a tree of its own; queries are packed into
 blocks of bounded size and each block meets each shard (the stated query set against all rows, in blocks).  A task
 holds one shard and one block at a time.  The nearest of each shard are merged by query.
 
@@ -127,7 +127,7 @@ def _pack(table: pa.Table) -> pa.Table:
 
 
 def _packed(rows: DataFrame, parts: int) -> DataFrame:
-    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"), F.size("v").alias("dim"), "id", "v")
+    dealt = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(parts)).alias("part"), F.size("v").alias("dim"), "id", "v")
     return dealt.groupBy("part", "dim").applyInArrow(_pack, "part long, dim int, ids binary, vectors binary")
 
 
