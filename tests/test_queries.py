@@ -100,6 +100,19 @@ def test_as_of_does_not_depend_on_its_buckets(spark, width):
     assert {x.seq: x.bid for x in out.collect()} == want
 
 
+@pytest.mark.parametrize(("block", "seconds"), [(4, 1), (7, 11), (1 << 16, 86_400)])
+def test_row_frames_do_not_depend_on_their_blocks(trades, block, seconds):
+    from pyspark.sql import Window
+
+    from tidemark.operators.windows import over_preceding
+
+    t = trades.withColumn("ts", F.date_trunc("minute", "ts").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("seq") % 7))
+    w = Window.partitionBy("symbol").orderBy("ts", "seq").rowsBetween(-3, 0)
+    want = {r.seq: (r.s, r.n) for r in t.select("seq", F.sum("price").over(w).alias("s"), F.count("*").over(w).alias("n")).collect()}
+    got = over_preceding(t, 3, {"s": F.sum("price"), "n": F.count("*")}, keys=["symbol"], order=["ts", "seq"], block=block, bucket_seconds=seconds)
+    assert {r.seq: (r.s, r.n) for r in got.collect()} == want and got.count() == 60
+
+
 def test_sequence_events(spark):
     numbers = [1, 2, 5, 30, 29, 30, 31, 3, 4, 4]
     df = spark.createDataFrame([("x", "A", BASE + timedelta(seconds=i), i, q) for i, q in enumerate(numbers)], "exchange string, symbol string, ts timestamp_ntz, at long, q long")

@@ -13,6 +13,7 @@ from tidemark.operators import candles as C
 from tidemark.operators import joins as J
 from tidemark.operators import quality as Q
 from tidemark.operators import queries as P
+from tidemark.operators import windows as X
 from tidemark.sources import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -307,8 +308,8 @@ def _(spark, d):
 
 @register("moving_avg_10", "SELECT seq, symbol, round(avg(CAST(price AS DOUBLE)) OVER (PARTITION BY symbol ORDER BY ts, seq ROWS BETWEEN 10 PRECEDING AND CURRENT ROW), 6) AS moving_avg FROM trades")
 def _(spark, d):
-    w = Window.partitionBy("symbol").orderBy("ts", "seq").rowsBetween(-10, 0)
-    return V.trades(spark, d).select("seq", "symbol", F.round(F.avg(F.col("price").cast("double")).over(w), 6).alias("moving_avg"))
+    t = V.trades(spark, d).select("seq", "symbol", "ts", F.col("price").cast("double").alias("price"))
+    return X.over_preceding(t, 10, {"mean": F.avg("price")}, keys=["symbol"], order=["ts", "seq"]).select("seq", "symbol", F.round("mean", 6).alias("moving_avg"))
 
 
 @register("sliding_volume", "SELECT symbol, w AS window_start, round(CAST(sum(quantity) AS DOUBLE), 6) AS volume FROM (SELECT symbol, quantity, unnest([time_bucket(INTERVAL '30 minutes', ts), time_bucket(INTERVAL '30 minutes', ts) - INTERVAL '30 minutes']) AS w FROM trades) GROUP BY 1, 2")
