@@ -282,8 +282,8 @@ def resolve_hot(hot: DataFrame, start: Column, combine: Callable[[Column], Colum
     execution may split hot keys.
     """
     parts = ("hash", "before", "body")
-    rows = hot.withColumns({"k1": F.xxhash64(*parts), "k2": F.xxhash64(F.lit(1), *parts)})
-    contexts = common.settled(rows.groupBy("k1", "k2", *parts).agg(start.cast("long").alias("own")).withColumnsRenamed({"k1": "c1", "k2": "c2"}))
+    rows = hot.withColumns({"row1": F.xxhash64(*parts), "row2": F.xxhash64(F.lit(1), *parts)})
+    contexts = common.settled(rows.groupBy("row1", "row2", *parts).agg(start.cast("long").alias("own")).withColumnsRenamed({"row1": "c1", "row2": "c2"}))
     big = contexts.groupBy("hash", F.xxhash64("hash").alias("h2")).count().filter(F.col("count") > most).select(F.col("hash").alias("h1"), "h2")
     tagged = contexts.join(big, (F.col("hash") == F.col("h1")) & (F.xxhash64("hash").bitwiseXOR(F.col("h2")) == 0), "left")
     solved = tagged.filter("h1 is null").select("c1", "c2", *parts, "own").repartition("hash").sortWithinPartitions("hash").mapInArrow(few, VALUES)
@@ -292,7 +292,7 @@ def resolve_hot(hot: DataFrame, start: Column, combine: Callable[[Column], Colum
     back = spread.join(values, (F.col("window") == F.col("vwindow")) & (F.col("hash").bitwiseXOR(F.col("vhash")) == 0))
     again = back.groupBy("c1", "c2").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "v"))), lambda x: x["v"]).alias("vals"))  # at most one window's length
     found = solved.unionByName(again)
-    joined = rows.join(found, (F.col("k1") == F.col("c1")) & (F.col("k2").bitwiseXOR(F.col("c2")) == 0))
+    joined = rows.join(found, (F.col("row1") == F.col("c1")) & (F.col("row2").bitwiseXOR(F.col("c2")) == 0))
     places = F.transform("vals", lambda v, i: F.when(removes(v), i))
     gone = joined.withColumn("gone", F.filter(places, lambda i: i.isNotNull())).filter(F.size("gone") > 0)
     ends = gone.select("key", "id", F.explode("firsts").alias("first"), F.element_at("gone", 1).alias("low"), F.element_at("gone", -1).alias("high"))
