@@ -58,6 +58,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small table of many partitions with a reliable checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate for the plan, without running anything."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

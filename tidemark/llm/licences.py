@@ -116,8 +116,8 @@ def scan(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model
     weights = spark.createDataFrame([(g, f, float(w)) for f, own in model.weights.items() for g, w in own.items() if abs(w) > 1e-6], "gram string, family string, weight double")
     families = F.explode(F.array(*(F.struct(F.lit(f).alias("family"), F.lit(float(b)).alias("bias")) for f, b in model.bias.items())))
     parts = spark.createDataFrame([(g, f, i, len(own)) for f, i, own in model.templates for g in own], "gram string, family string, template int, n_template int")
-    # The id may be null or repeated: a number keeps paragraphs apart.  Only licence paragraphs are settled.
-    found = common.settled(paragraphs(df, model, id_col=id_col, text_col=text_col).withColumn("at", F.monotonically_increasing_id()).select("at", id_col, "place", "grams", F.size("grams").alias("n")))
+    # The id may be null or repeated: a number keeps paragraphs apart.  Only licence paragraphs are kept.
+    found = common.checkpointed(paragraphs(df, model, id_col=id_col, text_col=text_col).withColumn("at", F.monotonically_increasing_id()).select("at", id_col, "place", "grams", F.size("grams").alias("n")))
     grams = found.select("at", F.explode("grams").alias("gram"))
     sums = grams.join(F.broadcast(weights), "gram").groupBy("at", "family").agg(F.sum("weight").alias("sum"))
     shared = grams.join(F.broadcast(parts), "gram").groupBy("at", "family", "template", "n_template").agg(F.count("*").alias("both"))
