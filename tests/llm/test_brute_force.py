@@ -324,3 +324,22 @@ def test_licences_are_named(spark):
     assert got == {1: "mit", 2: "apache-2.0", 3: "", 4: "cc-by-nc", 5: "gpl-3.0"}
     plan = licences.scanned(spark.createDataFrame(rows, "doc_id long, text string"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_licences_of_all_lines_are_the_plain_models(spark):
+    model = licences.Model()
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").dropDuplicates(["doc_id"])
+    made = ["All rights reserved.", "Released under CC BY-SA 4.0.", "Available under CC BY 4.0.", "Subject to the Mozilla terms, v. 2.0", "GNU", "x", "", "of the the of the", "License: MIT"]
+    made += [" ".join(n.split()[a:]) for own in licences.TEMPLATES.values() for n in own for a in range(4)] + list(licences.NOT_LICENCES)
+    docs = docs.unionByName(spark.createDataFrame([(-1, "\n".join(made))], "doc_id long, text string")).cache()
+    want = {}
+    for row in docs.collect():
+        for place, line in enumerate((row.text or "").split("\n")):
+            p = model.probabilities(licences._grams(licences._tokens(line)))
+            best = min(p, key=lambda f: (-p[f], f))
+            if best != licences.NONE:
+                want[row.doc_id, place] = (best, round(p[best], 4))
+    got = {(r.doc_id, r.place): r for r in licences.scan(docs, model=model).collect()}
+    assert got.keys() == want.keys()
+    assert all(r.family in (want[k][0], licences.UNKNOWN) and abs(r.probability - want[k][1]) < 1e-3 for k, r in got.items())
+    assert [got[-1, i].family for i in range(3)] == ["all-rights-reserved", "cc-by-sa", "cc-by"]

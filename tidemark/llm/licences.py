@@ -2,8 +2,9 @@
 
 Paragraphs are the lines of a text.  Sparse word 1- and 2-grams of known notices, and of sentences that only sound like
 them, train a multinomial logistic regression on the driver; data and weights are as small as the templates.  A scan
-looks at every paragraph of every text: a licence paragraph must hold one of the signature words, each template has
-one, and paragraphs without any are passed over by a pattern in the scan itself; of the others, n-grams are joined with the weights
+takes the n-grams of every paragraph of every text, and bounds in the scan itself how far any family can come out ahead of
+no licence: by the most that each n-gram can add, rounded up, first from words alone, then with pairs.  Only paragraphs where that can't reach are passed over, and
+they are no licence for certain; of the others, n-grams are joined with the weights
 (broadcast, their number is fixed by the templates), summed by paragraph and family, and turned into probabilities.
 The probability below which a paragraph is called unknown is calibrated on shortened notices; a prediction also needs
 the share of the template's n-grams or of the paragraph's own that the two have in common.  What sounds like a licence
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from tidemark.llm import common
 
 # Short forms of well-known public licence notices.
 TEMPLATES = {
+    "all-rights-reserved": ("All rights reserved.", "Copyright by the authors. All rights reserved."),
     "apache-2.0": ("Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     "bsd": ("Released under the BSD License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -35,7 +38,7 @@ TEMPLATES = {
     "gpl-2.0": ("This work is licensed under the GNU General Public License, version 2.", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2."),
     "gpl-3.0": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     "lgpl": ("This library is licensed under the GNU Lesser General Public License.", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation."),
-    "mit": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.", "Licensed under the MIT License."),
+    "mit": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.", "Licensed under the MIT License.", "License: MIT", "MIT License", "Licensed under MIT."),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0."),
 }
 NOT_LICENCES = (
@@ -44,6 +47,10 @@ NOT_LICENCES = (
     "The software runs free of errors on the new version of the machine.", "Public transport is free for students under the age of ten.", "The source of the river is under the mountain.",
     "All rights belong to the people, said the speaker.", "The book was released under the title of the first chapter.", "The terms of the contract were read to the workers.",
     "She works in the general office of the public library.", "The commons behind the church were open to all.", "Version two of the report was published in May.",
+    # Prose of common words, with the German word that looks like a licence's name.
+    "Er fuhr mit dem Zug in die Stadt.", "Sie kam mit der Mutter und mit den Kindern an.", "Das Haus mit dem Garten ist alt.", "Komm mit.", "Mit wem?", "Mit.",
+    "That is how it was, and they are as old as he is.", "As we are at home, it is late.", "Are you at the end of it?", "That it was for her to be in it or not is as it may be.",
+    "He was by the sea with a friend and they had that to eat on the way.", "It is not for you to say what you may do.",
 )
 NONE, UNKNOWN = "none", "unknown"
 TOKEN = "[a-z0-9]+"
@@ -58,7 +65,7 @@ def _grams(tokens: list[str]) -> set[str]:
 
 
 class Model:
-    """Weights by n-gram and family, template n-grams, signature words, and the calibrated least probability."""
+    """Weights by n-gram and family, template n-grams, what each n-gram can add, and the calibrated least probability."""
 
     def __init__(self, rounds: int = 300, rate: float = 0.5, ridge: float = 1e-3):
         samples = []
@@ -83,8 +90,16 @@ class Model:
                         own[g] = own.get(g, 0.0) * (1 - rate * ridge) + step * slope / math.sqrt(len(grams))
                     self.bias[f] += 0.01 * slope
         self.templates = [(f, i, _grams(_tokens(n))) for f, notices in TEMPLATES.items() for i, n in enumerate(notices)]
-        # Each template holds one of these; a paragraph without any is no licence.
-        self.signature = sorted({"license", "licensed", "licenses", "permission", "redistribution", "redistribute", "copyright", "cc0"})
+        # The most that any family gains on no licence: by its bias, and by each n-gram, rounded up to quarters.
+        others = [f for f in self.families if f != NONE]
+        self.ahead = max(self.bias[f] for f in others) - self.bias[NONE]
+        self.gains = {g: math.ceil(4 * max(self.weights[f].get(g, 0.0) - self.weights[NONE].get(g, 0.0) for f in others)) / 4 for g in sorted(set().union(*self.weights.values()))}
+        # The same without pairs: what a pair can add is charged to that of its words which is rarer in prose.
+        prose = Counter(w for x in NOT_LICENCES for w in _tokens(x))
+        self.charges: dict[str, float] = {}
+        for g, gain in self.gains.items():
+            word = min(g.split(), key=lambda w: (prose[w], w))
+            self.charges[word] = self.charges.get(word, 0.0) + max(gain, 0.0)
         sure = sorted(self.probabilities(g)[f] for g, f in samples if f != NONE)
         self.least = round(min(0.5, sure[len(sure) // 20]), 6)
 
@@ -101,13 +116,34 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def _may_win(model: Model, grams: Column, gains: dict[str, float]) -> Column:
+    """Whether some family may come out ahead of no licence, from distinct grams and the most that each adds."""
+    steps: dict[float, list[str]] = {}
+    for g, gain in gains.items():
+        if gain:
+            steps.setdefault(gain, []).append(g)
+
+    def gain_of(gram: Column) -> Column:
+        value = F.lit(0.0)
+        for gain, own in steps.items():
+            value = F.when(gram.isin(own), F.lit(gain)).otherwise(value)
+        return value
+
+    known = [g for own in steps.values() for g in own]
+    total = F.aggregate(F.filter(grams, lambda g: g.isin(known)), F.lit(0.0), lambda total, g: total + gain_of(g))
+    # A little over, for weights too small to be kept and the order of sums.
+    return model.ahead + 4 / F.sqrt(F.greatest(F.size(grams), F.lit(1))) * total + 1e-3 >= 0
+
+
 def paragraphs(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc id, place of the paragraph and its distinct n-grams, for paragraphs that hold a signature word."""
-    pattern = r"(?i)\b(" + "|".join(model.signature) + r")\b"
-    lines = df.filter(F.col(text_col).rlike(pattern)).select(F.col(id_col), F.posexplode(F.split(F.col(text_col), "\n")).alias("place", "line")).filter(F.col("line").rlike(pattern))
-    words = lines.withColumn("w", _words(F.col("line")))
+    """doc id, place of the paragraph and its distinct n-grams, for all paragraphs that may be a licence by the model."""
+    lines = df.select(F.col(id_col), F.posexplode(F.split(F.col(text_col), "\n")).alias("place", "line"))
+    # Arrays of one, exploded: filters stay behind them, and don't cut a line into words again for each word.
+    words = lines.select(id_col, "place", F.explode(F.array(_words(F.col("line")))).alias("w"))
+    words = words.select(id_col, "place", "w", F.explode(F.array(F.array_distinct("w"))).alias("own")).filter(_may_win(model, F.col("own"), model.charges))
     pairs = F.when(F.size("w") > 1, F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))).otherwise(F.array().cast("array<string>"))
-    return words.select(id_col, "place", F.array_distinct(F.concat("w", pairs)).alias("grams"))
+    grams = words.select(id_col, "place", F.explode(F.array(F.array_distinct(F.concat("w", pairs)))).alias("grams"))
+    return grams.filter(_may_win(model, F.col("grams"), model.gains))
 
 
 def scan(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None, least_overlap: float = 0.7) -> DataFrame:
