@@ -343,3 +343,10 @@ def test_licences_of_all_lines_are_the_plain_models(spark):
     assert got.keys() == want.keys()
     assert all(r.family in (want[k][0], licences.UNKNOWN) and abs(r.probability - want[k][1]) < 1e-3 for k, r in got.items())
     assert [got[-1, i].family for i in range(3)] == ["all-rights-reserved", "cc-by-sa", "cc-by"]
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_a_text_of_exactly_a_shingle_equals_its_repeats(spark, size):
+    rows = [(1, "ok " * size), (2, "ok " * (size + 1)), (3, "ok " * (size + 4)), (4, "ok " * (size - 1)), (5, "no " * size)]
+    got = {r.id: tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=size, bits=16).collect()}
+    assert got == {1: (1, 1, 1, True), 2: (2, 1, 1, False), 3: (3, 1, 1, False), 4: (4, 1, 4, True), 5: (5, 1, 5, True)}

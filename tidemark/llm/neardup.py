@@ -51,7 +51,7 @@ def shingles(text: bytes, words: int) -> np.ndarray:
     symbols = W.word_symbols(text.translate(LOWER))
     if not len(symbols):
         return symbols
-    if len(symbols) <= words:
+    if len(symbols) < words:
         return W.mix(W.prefix_hash(symbols)[-1:] + U(len(symbols)))
     return np.unique(W.gram_hash(W.prefix_hash(symbols), words) + U(words))
 
