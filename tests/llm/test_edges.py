@@ -52,36 +52,36 @@ def count(df, key="doc_id"):
 
 
 def test_suffix(docs, none):
-    out = [r for r in suffix.dedup(docs, bits=16).collect()]
+    out = [r for r in suffix.dedup(docs).collect()]
     assert len(out) == len(ROWS)
     by = {(r.doc_id, r.n_bytes): r for r in out}
     assert by[5, len(LONG)].n_removed == len(LONG) and by[6, len(LONG)].n_spans == 1
     assert by[3, 0].kept_sha256 == hashlib.sha256(b"").hexdigest() == by[2, 0].kept_sha256
     assert by[1, 26].n_removed == 0 and by[None, 32].n_removed == 0
-    assert count(suffix.dedup(none, bits=16)) == 0
-    cleaned = suffix.cleaned(docs, bits=16)
+    assert count(suffix.dedup(none)) == 0
+    cleaned = suffix.cleaned(docs)
     assert cleaned.columns == docs.columns and cleaned.count() == len(ROWS)
     assert {r.text for r in cleaned.filter("doc_id in (5, 6)").collect()} == {""}
     assert cleaned.filter("doc_id = 7").first().text == ROWS[8][1]
 
 
 def test_substring(docs, none):
-    by = {(r.doc_id, r.n_words): r for r in substring.dedup(docs, bits=16).collect()}
+    by = {(r.doc_id, r.n_words): r for r in substring.dedup(docs).collect()}
     assert by[5, 60_000].n_removed == 0 and by[6, 60_000].n_removed == 60_000
     assert by[2, 0].n_removed == by[3, 0].n_removed == by[4, 0].n_removed == 0
     assert by[7, 4].kept_sha256 == hashlib.sha256(b" ".join(ROWS[8][1].encode().split())).hexdigest()
-    assert count(substring.dedup(none, bits=16)) == 0
+    assert count(substring.dedup(none)) == 0
 
 
 def test_near_duplicates(docs, none):
-    out = neardup.near_duplicates(docs, words=2, bits=16).collect()
+    out = neardup.near_duplicates(docs, words=2).collect()
     assert len(out) == len(ROWS)
     by = {(r.id, r.n_shingles): r for r in out}
     assert by[6, 59_999].component_id == 5 and not by[6, 59_999].kept and by[5, 59_999].kept
     assert by[None, 6].kept and by[None, 6].component_id is None
     assert by[3, 0].component_id == 3 and by[1, 5].kept
-    assert count(neardup.near_duplicates(none, bits=16)) == 0
-    kept = neardup.representatives(docs, bits=16)
+    assert count(neardup.near_duplicates(none)) == 0
+    kept = neardup.representatives(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 5, 7, None}
 
 

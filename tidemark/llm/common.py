@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,20 +33,47 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+_made: dict[str, SparkSession] = {}
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh folder name under the shared folder; removed when the driver's Python ends."""
+    """A fresh folder name under the shared folder; removed when asked (``remove``, ``drop``, ``released``) or the driver's Python ends."""
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    _made[path] = spark
+    return path
 
-    def remove() -> None:
-        try:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
-        except Exception:  # the JVM may have ended before  # noqa: BLE001
-            pass
 
-    atexit.register(remove)
-    return path
+def remove(path: str) -> None:
+    """Delete a folder that ``scratch`` named."""
+    spark = _made.pop(path, None)
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the JVM may have ended before  # noqa: BLE001
+        pass
+
+
+@atexit.register
+def _remove_all() -> None:
+    for path in list(_made):
+        remove(path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_settled_at", None):
+            remove(path)
+
+
+@contextmanager
+def released(*keep: str):
+    """Delete at the end whatever was made inside, but for folders named to be kept."""
+    before = set(_made)
+    yield
+    for path in list(_made):
+        if path not in before and path not in keep:
+            remove(path)
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -55,7 +83,9 @@ def settled(df: DataFrame) -> DataFrame:
     """
     path = scratch(df.sparkSession, "settled")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._settled_at = path
+    return out
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Substring dedup over word windows with a count-min prefilter.
 
 A window is a number of consecutive words of one document.  The merged sketch of the windows' anchors (see ``windows``)
-overestimates how often a window occurs; only windows whose anchor is estimated to repeat are grouped exactly, by the anchor's and
-the window's 64-bit hashes together, so none is lost.  The document with the smallest id that holds a window keeps it;
+overestimates how often a window occurs; only windows whose anchor is estimated to repeat are grouped exactly, word by
+word, so none is lost and none goes by a collision.  The document with the smallest id that holds a window keeps it;
 everywhere else the words it covers go.  Windows are judged on the input.
 
 Defined cases: null and blank texts have no words; texts shorter than a window keep all; a null id counts as
@@ -26,104 +26,111 @@ from tidemark.llm import windows as W
 LAST_ID = (1 << 63) - 1
 
 
-def _windows(a: W.Anchors, at: np.ndarray, span: int) -> list[bytes]:
-    """The hashes of the windows of each of the anchors, as bytes."""
-    sizes = a.last[at] - a.first[at] + 1
-    offsets = np.r_[0, np.cumsum(sizes)]
-    flat = a.window_hashes(span)[np.repeat(a.low[at] - offsets[:-1], sizes) + np.arange(offsets[-1])].tobytes()
-    return [flat[x * 8 : y * 8] for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
-
-
-def _emit(shared: tuple, k: int, span: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
-            key, name = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id")
-            for a in W.anchors(map(W.word_symbols, batch.column("raw").to_pylist()), k, span):
-                again, hot = W.marked(shared, a.hash)
-                at = np.flatnonzero(again & ~hot)
-                text = a.text[at]
-                yield pa.RecordBatch.from_arrays([pa.array(key[text]), name.take(pa.array(text)), pa.array(a.hash[at].view(np.int64)), pa.array(a.first[at], pa.int32()), pa.array(_windows(a, at, span), pa.binary())], names=["key", "id", "hash", "first", "windows"])
-
-    return run
-
-
-SPANS = "key long, id long, start int, stop int"
-
-
-def _least(table: pa.Table, owner: str, body: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For the windows of rows, one after another: row, place in the row, own id, and the least id that has the window."""
-    raw = table.column(body).to_pylist()
-    sizes = np.array([len(x) // 8 for x in raw], np.int64)
-    flat = np.frombuffer(b"".join(raw), np.int64)
-    row = np.repeat(np.arange(len(raw)), sizes)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    ids = table.column(owner).combine_chunks().fill_null(LAST_ID).to_numpy()[row]
-    hashes = table.column("hash").to_numpy()[row]
-    least = np.empty(len(flat), np.int64)
-    if len(flat):
-        order = np.lexsort((flat, hashes))
-        edge = np.flatnonzero(np.r_[True, (np.diff(flat[order]) != 0) | (np.diff(hashes[order]) != 0)])
-        least[order] = np.repeat(np.minimum.reduceat(ids[order], edge), np.diff(np.r_[edge, len(flat)]))
-    return row, place, ids, least
+def _cut_words(raw: list[bytes], texts: np.ndarray, first: np.ndarray, stop: np.ndarray) -> list[bytes]:
+    split: dict[int, list[bytes]] = {}
+    out = []
+    for t, a, b in zip(texts.tolist(), first.tolist(), stop.tolist(), strict=True):
+        if t not in split:
+            split = {t: raw[t].split()}
+        out.append(b" ".join(split[t][a:b]))
+    return out
+
+
+def _least(table: pa.Table, owner: str, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the windows of rows, one after another: row, place in the row, own id, and the least id that has the window.
+
+    Words are numbered exactly.  Windows are put in order by their anchor's hash and a hash of their numbers, and equal
+    hashes' numbers are compared word by word; where these differ, the windows are put in order by the numbers themselves.
+    """
+    numbers: dict[bytes, int] = {}
+    hashes = table.column("hash").to_numpy()
+    ids = table.column(owner).combine_chunks().fill_null(LAST_ID).to_numpy()
+    bodies = table.column("body").to_pylist()
+    known: dict[tuple, int] = {}  # equal bodies of an anchor are looked at once, with their least id
+    own = np.array([known.setdefault(x, len(known)) for x in zip(hashes.tolist(), bodies, strict=True)], np.int64)
+    least_id = np.full(len(known), LAST_ID, np.int64)
+    np.minimum.at(least_id, own, ids)
+    words = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in body.split(b" ")], np.int64) for _, body in known]
+    sizes = np.array([len(w) - span + 1 for w in words], np.int64)
+    offset = np.cumsum(sizes) - sizes
+    flat = np.concatenate(words) if words else np.empty(0, np.int64)
+    places = np.repeat(np.arange(len(words)) * (span - 1), sizes) + np.arange(sizes.sum())  # a window's first word in flat
+    group = np.repeat(np.array([h for h, _ in known], np.int64), sizes)
+    least = np.empty(len(places), np.int64)
+    if len(places):
+        hashed = W.gram_hash(W.prefix_hash(W.mix(flat.astype(np.uint64))), span)[places].view(np.int64)
+        order = np.lexsort((hashed, group))
+        fresh = np.r_[True, (np.diff(hashed[order]) != 0) | (np.diff(group[order]) != 0)]
+        view = np.lib.stride_tricks.sliding_window_view(flat, span)
+        again = np.flatnonzero(~fresh)
+        if any((view[places[order[part]]] != view[places[order[part - 1]]]).any() for part in np.array_split(again, len(again) // 65536 + 1)):
+            _, code = np.unique(view[places], axis=0, return_inverse=True)
+            order = np.lexsort((code, group))
+            fresh = np.r_[True, (np.diff(code[order]) != 0) | (np.diff(group[order]) != 0)]
+        edge = np.flatnonzero(fresh)
+        least[order] = np.repeat(np.minimum.reduceat(np.repeat(least_id, sizes)[order], edge), np.diff(np.r_[edge, len(places)]))
+    n = sizes[own]
+    row = np.repeat(np.arange(len(own)), n)
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return row, place, ids[row], least[np.repeat(offset[own], n) + place]
 
 
 def _grouped(span: int):
     """Rows in order of their anchors' hashes: the spans whose windows occur under a smaller id."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
-        row, place, ids, least = _least(table, "id", "windows")
+        row, place, ids, least = _least(table, "id", span)
         gone = least < ids
         row, place = row[gone], place[gone]
         starts = np.flatnonzero(np.r_[True, np.diff(row) != 0]) if len(row) else np.empty(0, np.int64)
         owner = row[starts]
         first = table.column("first").to_numpy()[owner]
         low, high = place[starts], place[np.r_[starts[1:], len(row)] - 1] if len(row) else place
-        return pa.RecordBatch.from_arrays([table.column("key").combine_chunks().take(pa.array(owner)), table.column("id").combine_chunks().take(pa.array(owner)), pa.array((first + low).astype(np.int32)), pa.array((first + high + span).astype(np.int32))], names=["key", "id", "start", "stop"])
+        return pa.RecordBatch.from_arrays([table.column("row").combine_chunks().take(pa.array(owner)), pa.array((first + low).astype(np.int32)), pa.array((first + high + span).astype(np.int32))], names=["row", "start", "stop"])
 
     return lambda batches: W.grouped(batches, solve)
 
 
-def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _few(span: int):
     def solve(table: pa.Table) -> pa.RecordBatch:
-        row, _, _, least = _least(table, "own", "body")
+        row, _, _, least = _least(table, "own", span)
         return W.values_batch(table, least, np.bincount(row, minlength=table.num_rows))
 
-    return W.grouped(batches, solve)
-
-
-def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw = batch.column("body").to_pylist()
-        yield W.single_batch(batch, np.frombuffer(b"".join(raw), np.int64), np.array([len(x) // 8 for x in raw], np.int64))
+    return lambda batches: W.grouped(batches, solve)
 
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.slices(batches):
-        rows = []
-        for raw, spans in zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            words = raw.split()
-            kept, at = [], 0
-            for a, b in W.union(spans):
-                kept += words[at:a]
-                at = b
-            kept += words[at:]
-            rows.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+def _cut(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        beside = W.Beside(path)
+        for batch in common.slices(batches):
+            rows = []
+            for raw, spans in zip(batch.column("raw").to_pylist(), W.spans_of(beside, batch.column("row").to_numpy()), strict=True):
+                words = raw.split()
+                kept, at = [], 0
+                for a, b in spans:
+                    kept += words[at:a]
+                    at = b
+                kept += words[at:]
+                rows.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+    return run
 
 
-def spans(rows: DataFrame, *, span: int = 50, k: int = 12, hot: int = 1024, most: int = 16_384, bits: int | None = None) -> DataFrame:
-    """(key, id, start, stop) in words: what to remove of the rows that ``windows.keyed`` gives."""
-    shared = W.sketch(rows, lambda raw: (a.hash for a in W.anchors(map(W.word_symbols, raw), k, span)), bits or W.sketch_bits(rows, 1 / 10), hot)
-    usual = rows.mapInArrow(_emit(shared, k, span), "key long, id long, hash long, first int, windows binary").repartition("hash").sortWithinPartitions("hash").mapInArrow(_grouped(span), SPANS)
-    owner = F.coalesce("id", F.lit(LAST_ID))
-    often = W.resolve_hot(W.hot_rows(rows, W.word_symbols, lambda a, at, _: _windows(a, at, span), shared, k, span), F.min(owner), F.min, lambda v: v < owner, _few, _single, span, most)
-    return usual.unionByName(often)
+def spans(rows: DataFrame, *, span: int = 50, k: int = 12, hot: int = 1024, most: int = 256) -> str:
+    """The folder of spans in words, laid beside the texts (``windows.placed``): what to remove."""
+    usual, often = W.repeated(rows, W.word_symbols, k, span, hot)
+    texts = rows.select("row", "id", "raw")
+    plain = texts.mapInArrow(W.around(usual, _cut_words, span), W.AROUND).repartition("hash").sortWithinPartitions("hash").mapInArrow(_grouped(span), "row long, start int, stop int")
+    found = W.contexts(texts.mapInArrow(W.around(often, _cut_words, span), W.AROUND), F.coalesce("id", F.lit(LAST_ID)), span - k + 1)
+    hot_spans = W.resolve(found, F.min("own"), lambda v: v < F.col("own"), _few(span), W.halves(lambda b: b.split(b" "), b" ".join, span), span, most)
+    return W.spans_beside([plain, *hot_spans])
 
 
 def dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for every row."""
-    rows = W.keyed(df, id_col, text_col)
-    return W.with_spans(rows, spans(rows, **options)).mapInArrow(_cut, RESULT)
+    rows = W.placed(df, id_col, text_col)
+    return rows.mapInArrow(_cut(spans(rows, **options)), RESULT)

@@ -7,8 +7,8 @@ comparison takes a logarithmic number of steps.  The extensions of neighbours in
 byte; a group whose hashes collided is sorted again by its bytes.  A window that starts ``o`` bytes before its anchor occurs elsewhere
 if another occurrence agrees on ``o`` bytes before and on the rest after; both classes follow from the sorted orders.
 
-Anchors that may occur very often go through ``windows.resolve_hot``: equal surroundings are counted first, then distinct ones sorted
-in the same way; only where those are too many for a task are they spread by their windows' hashes.
+Anchors that may occur very often go through ``windows.resolve``: equal surroundings are counted first, then distinct ones sorted
+in the same way; groups that are too many for a task are cut by their windows' offsets until they are small, and sorted and verified then.
 Matches stay within a text because windows do.  Strings are judged on the input.
 
 Defined cases: null texts count as empty; texts shorter than the string keep all; every row is a text of its own, repeated
@@ -136,22 +136,8 @@ def repeated(group: np.ndarray, left: np.ndarray, contexts: list[bytes], count:
     return low, high
 
 
-def _around(a: W.Anchors, at: np.ndarray, raw: list[bytes], span: int) -> list[bytes]:
-    """The bytes that the windows of each of the anchors cover."""
-    return [raw[t][x : y + span] for t, x, y in zip(a.text[at].tolist(), a.first[at].tolist(), a.last[at].tolist(), strict=True)]
-
-
-def _emit(shared: tuple, k: int, span: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
-            key, name, raw = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id"), batch.column("raw").to_pylist()
-            for a in W.anchors(map(W.byte_symbols, raw), k, span):
-                again, hot = W.marked(shared, a.hash)
-                at = np.flatnonzero(again & ~hot)
-                text, first = a.text[at], a.first[at]
-                yield pa.RecordBatch.from_arrays([pa.array(key[text]), name.take(pa.array(text)), pa.array(a.hash[at].view(np.int64)), pa.array(a.at[at], pa.int32()), pa.array(first, pa.int32()), pa.array(_around(a, at, raw, span), pa.binary())], names=["key", "id", "hash", "at", "first", "around"])
-
-    return run
+def _cut_bytes(raw: list[bytes], texts: np.ndarray, first: np.ndarray, stop: np.ndarray) -> list[bytes]:
+    return [raw[t][a:b] for t, a, b in zip(texts.tolist(), first.tolist(), stop.tolist(), strict=True)]
 
 
 def _solve(span: int):
@@ -159,7 +145,7 @@ def _solve(span: int):
         hashes, at = table.column("hash").to_numpy(), table.column("at").to_numpy().astype(np.int64)
         left = at - table.column("first").to_numpy()
         known: dict[tuple, int] = {}  # equal contexts are sorted once
-        own = np.array([known.setdefault(x, len(known)) for x in zip(hashes.tolist(), left.tolist(), table.column("around").to_pylist(), strict=True)], np.int64)
+        own = np.array([known.setdefault(x, len(known)) for x in zip(hashes.tolist(), left.tolist(), table.column("body").to_pylist(), strict=True)], np.int64)
         count = np.bincount(own, minlength=len(known))
         keys = list(known)
         group = np.array([x[0] for x in keys], np.int64)
@@ -171,8 +157,7 @@ def _solve(span: int):
         low[some], high[some] = repeated(group[some], np.array([keys[i][1] for i in some], np.int64), [keys[i][2] for i in some], count[some], span)
         rows = np.flatnonzero(high[own] >= 0)
         start, stop = at[rows] - high[own[rows]], at[rows] + span - low[own[rows]]
-        take = pa.array(rows)
-        return pa.RecordBatch.from_arrays([table.column("key").combine_chunks().take(take), table.column("id").combine_chunks().take(take), pa.array(start, pa.int32()), pa.array(stop, pa.int32())], names=["key", "id", "start", "stop"])
+        return pa.RecordBatch.from_arrays([table.column("row").combine_chunks().take(pa.array(rows)), pa.array(start, pa.int32()), pa.array(stop, pa.int32())], names=["row", "start", "stop"])
 
     return lambda batches: W.grouped(batches, solve)
 
@@ -192,30 +177,14 @@ def _few(span: int):
     return lambda batches: W.grouped(batches, solve)
 
 
-def _single(span: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                raw = part.column("body").to_pylist()
-                sizes = np.array([len(x) for x in raw], np.int64)
-                places = sizes - span + 1
-                hashes = W.gram_hash(W.prefix_hash(W.byte_symbols(b"".join(raw))), span).view(np.int64)
-                at = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(places) - places), places) + np.arange(places.sum())
-                yield W.single_batch(part, hashes[at], places)
-
-    return run
-
-
-SPANS = "key long, id long, start int, stop int"
-
-
-def spans(rows: DataFrame, *, span: int = 200, k: int = 64, hot: int = 1024, most: int = 16_384, bits: int | None = None) -> DataFrame:
-    """(key, id, start, stop) in bytes: strings that also start elsewhere, of the rows that ``windows.keyed`` gives."""
-    shared = W.sketch(rows, lambda raw: (a.hash for a in W.anchors(map(W.byte_symbols, raw), k, span)), bits or W.sketch_bits(rows, 1 / 5), hot)
-    usual = rows.mapInArrow(_emit(shared, k, span), "key long, id long, hash long, at int, first int, around binary").repartition("hash").sortWithinPartitions("hash").mapInArrow(_solve(span), SPANS)
-    often = W.resolve_hot(W.hot_rows(rows, W.byte_symbols, lambda a, at, raw: _around(a, at, raw, span), shared, k, span), F.sum(F.size("firsts")), F.sum, lambda v: v > 1, _few(span), _single(span), span, most)
-    return usual.unionByName(often)
+def spans(rows: DataFrame, *, span: int = 200, k: int = 64, hot: int = 1024, most: int = 256) -> str:
+    """The folder of spans in bytes, laid beside the texts (``windows.placed``): strings that also start elsewhere."""
+    usual, often = W.repeated(rows, W.byte_symbols, k, span, hot)
+    texts = rows.select("row", F.lit(None).cast("long").alias("id"), "raw")  # whose a text is doesn't matter
+    plain = texts.mapInArrow(W.around(usual, _cut_bytes, span), W.AROUND).repartition("hash").sortWithinPartitions("hash").mapInArrow(_solve(span), "row long, start int, stop int")
+    found = W.contexts(texts.mapInArrow(W.around(often, _cut_bytes, span), W.AROUND), F.lit(0), span - k + 1)
+    hot_spans = W.resolve(found, F.sum(F.size("firsts")), lambda v: v > 1, _few(span), W.halves(lambda b: b, bytes, span), span, most)
+    return W.spans_beside([plain, *hot_spans])
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -229,34 +198,38 @@ def _kept(raw: bytes, cut: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.slices(batches):
-        rows = []
-        for raw, found in zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            cut = W.union(found)
-            kept = _kept(raw, cut)
-            rows.append((len(raw), len(raw) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+def _cut(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        beside = W.Beside(path)
+        for batch in common.slices(batches):
+            rows = []
+            for raw, cut in zip(batch.column("raw").to_pylist(), W.spans_of(beside, batch.column("row").to_numpy()), strict=True):
+                kept = _kept(raw, cut)
+                rows.append((len(raw), len(raw) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return run
 
 
 def dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
-    rows = W.keyed(df, id_col, text_col)
-    return W.with_spans(rows, spans(rows, **options)).mapInArrow(_cut, RESULT)
+    rows = W.placed(df, id_col, text_col)
+    return rows.mapInArrow(_cut(spans(rows, **options)), RESULT)
 
 
 def cleaned(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows and columns of the input with the repeated bytes taken out of the text; what is left of a cut character goes too."""
     names = df.columns
-    found = W.spans_by_text(spans(W.keyed(df, id_col, text_col), **options)).select(F.col("key").alias("skey"), F.col("id").alias("sid"), "spans")
-    rows = W.keyed(df, id_col, text_col, F.struct(*(F.col(c) for c in names)).alias("row"))
-    joined = rows.join(found, (F.col("key") == F.col("skey")) & F.col("id").eqNullSafe(F.col("sid")), "left").select("row", "raw", "spans")
-    schema = joined.select("row").schema.add("kept", "string")
+    slim = F.struct(*(F.lit(None).cast("string").alias(c) if c == text_col else F.col(c) for c in names)).alias("own")
+    rows = W.placed(df, id_col, text_col, slim)
+    path = spans(rows, **options)
+    schema = rows.select("own").schema.add("kept", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        beside = W.Beside(path)
         for batch in common.slices(batches):
-            kept = [_kept(raw, W.union(cut)).decode("utf-8", "ignore") if cut else raw.decode() for raw, cut in zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string())], names=["row", "kept"])
+            found = W.spans_of(beside, batch.column("row").to_numpy())
+            kept = [_kept(raw, cut).decode("utf-8", "ignore") if cut else raw.decode() for raw, cut in zip(batch.column("raw").to_pylist(), found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array(kept, pa.string())], names=["own", "kept"])
 
-    slim = joined.withColumn("row", F.col("row").withField(text_col, F.lit(None).cast("string")))
-    return slim.mapInArrow(run, schema).select(*(F.col("kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names))
+    return rows.select("own", "row", "raw").mapInArrow(run, schema).select(*(F.col("kept").alias(c) if c == text_col else F.col("own")[c].alias(c) for c in names))

@@ -1,26 +1,30 @@
-"""Windows that repeat: anchors, a merged count-min sketch of them, and spans to remove.
+"""Windows that repeat: anchors, a count-min sketch of them, and spans to remove.
 
 A text is a row of symbols (bytes, or words as 64-bit hashes).  Of each window of ``span`` symbols the least hash of its
 ``k``-grams is the window's anchor, the leftmost of equal ones.  The choice depends on the window's symbols only: equal
 windows have equal anchors at equal offsets, and a window whose anchor occurs once does not repeat.  About two in
 ``span - k + 2`` positions are anchors, and consecutive windows share them.
 
-Tasks write sparse sketches of their anchors' hashes; merged by cell block they overestimate how often each hash occurs.  Their
-width follows the input's size within a bound, so what is broadcast (two bits a cell: occurs again, occurs very
-often) has a proven size; a fuller sketch only lets more anchors pass.  Anchors that occur again are grouped exactly
-by the operators; those that may occur more than ``hot`` times go another exact way, spread by window with sums or
-minima that are pre-aggregated (``resolve_hot``), so no task gets a large group.
+Texts are written once, and each row is named by the task that wrote it (its part) and its place (``placed``).  What is found
+about texts is laid beside them by part (``laid``) and met there (``Beside``): texts are read in order as often as needed and never shuffled, and
+equal rows stay apart.
+
+Tasks write sparse count-min sketches of their anchors' hashes; they are merged by ranges of cells, where they overestimate how often each
+hash occurs.  The width is a multiple of the number of anchors, and the merged sketch is a table that anchors are joined with, block by block:
+nothing of it is broadcast, and its load is the same at any size.  Anchors that occur again are grouped exactly
+by the operators; those that may occur more than ``hot`` times go through ``resolve``, where equal surroundings are combined first and
+groups that are still large are split by their windows' offsets, so no task gets a large group.
 """
 
 from __future__ import annotations
 
-import uuid
-import zlib
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +36,8 @@ INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 SEGMENT = 1 << 18
 INDEX_BITS = 20
 INDEX = U((1 << INDEX_BITS) - 1)
-CELL_BITS = 16  # of a block of the sketch
-ROWS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 FLUSH = 1 << 21
+PLACE_BITS = 33  # of a row's name, below its part
 
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
@@ -161,142 +164,225 @@ def anchors(texts: Iterable[np.ndarray], k: int, span: int) -> Iterator[Anchors]
         yield Anchors(np.array([i for i, *_ in parts])[part], at + base[part], low + base[part], high + base[part], g[at], low, p)
 
 
-def sketch_bits(df: DataFrame, share: float, most: int = 28) -> int:
-    """The logarithm of the sketch's width: a cell for each ``share`` bytes of input, from 2**16 to 2**most."""
-    return min(most, max(CELL_BITS, int(common.scan_bytes(df) * share).bit_length()))
+def placed(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(row, id, raw) and more, as a written table; ``row`` holds the part that a row was written to and its place there."""
+    rows = df.select(*more, F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("raw"))
+    return common.settled(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
-def cells(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
-    with np.errstate(over="ignore"):
-        return [((hashes * U(r)) >> U(64 - bits)).astype(np.int64) for r in ROWS]
+def laid(df: DataFrame) -> str:
+    """Write rows about texts (``row`` and more) by the part of their text, in order of place.  A part is as large as a task's share of the texts."""
+    path = common.scratch(df.sparkSession, "beside")
+    dealt = df.withColumn("part", F.shiftright("row", PLACE_BITS)).repartition("part").sortWithinPartitions("part", "row")
+    dealt.write.option("compression", "zstd").partitionBy("part").parquet(path)
+    return path
 
 
-def sketch(rows: DataFrame, hashes_of: Callable[[list], Iterator[np.ndarray]], bits: int, hot: int) -> tuple:
-    """Merge partition sketches of the texts in column ``raw``; the broadcast bit arrays (again, hot) by row."""
-    schema = "row int, block int, cells binary, counts binary"
+class Beside:
+    """Reads what was laid beside texts, one part at a time."""
 
-    def own_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+    def __init__(self, path: str):
+        (self.fs, self.root), self.part, self.table, self.names = common.open_fs(path), None, None, None
 
-        def out() -> pa.RecordBatch:
-            found = np.concatenate(held) if held else np.empty(0, U)
-            columns: list[list] = [[], [], [], []]
-            for row, own in enumerate(cells(found, bits)):
-                cell, count = np.unique(own, return_counts=True)
-                block = cell >> CELL_BITS
-                edges = np.flatnonzero(np.r_[True, np.diff(block) != 0]) if len(cell) else np.empty(0, np.int64)
-                low, count = (cell & ((1 << CELL_BITS) - 1)).astype(np.uint16), np.minimum(count, 65535).astype(np.uint16)
-                for a, b in zip(edges, np.r_[edges, len(cell)][1:], strict=True):
-                    for c, v in zip(columns, (row, int(block[a]), low[a:b].tobytes(), count[a:b].tobytes()), strict=True):
-                        c.append(v)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["row", "block", "cells", "counts"])
+    def _load(self, part: int) -> pa.Table | None:
+        from pyarrow import fs
+
+        if part != self.part:
+            found = self.fs.get_file_info(fs.FileSelector(f"{self.root}/part={part}", allow_not_found=True))
+            tables = [pq.ParquetFile(self.fs.open_input_file(f.path)).read() for f in found if f.path.endswith(".parquet")]
+            self.part, self.table = part, pa.concat_tables(tables).combine_chunks() if tables else None
+            if tables:
+                self.table = self.table.sort_by("row") if len(tables) > 1 else self.table
+                self.names = self.table.column("row").to_numpy()
+        return self.table
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, pa.Table | None]:
+        """For a batch's rows: (their places in the batch, what is beside them), one for each row that was laid."""
+        at, found = [], []
+        parts = rows >> PLACE_BITS
+        for part in np.unique(parts):
+            if (table := self._load(int(part))) is None:
+                continue
+            own = np.flatnonzero(parts == part)
+            low, high = (np.searchsorted(self.names, rows[own], side) for side in ("left", "right"))
+            n = high - low
+            at.append(np.repeat(own, n))
+            found.append(table.take(pa.array(np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum()))))
+        return (np.concatenate(at), pa.concat_tables(found)) if at else (np.empty(0, np.int64), None)
+
+
+def occurrences(rows: DataFrame, symbols: Callable[[bytes], np.ndarray], k: int, span: int) -> DataFrame:
+    """(row, at, shape, hash) of all anchors, settled.  ``shape`` is how far before the anchor its first window starts, and how many windows follow."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            for found in hashes_of(batch.column("raw").to_pylist()):
-                held.append(found)
-                size += len(found)
-                if size >= FLUSH:
-                    yield out()
-                    held, size = [], 0
-        yield out()
+            name = batch.column("row").to_numpy()
+            for a in anchors(map(symbols, batch.column("raw").to_pylist()), k, span):
+                yield pa.RecordBatch.from_arrays([pa.array(name[a.text]), pa.array(a.at, pa.int32()), pa.array((a.at - a.first << 16) + (a.last - a.first), pa.int32()), pa.array(a.hash.view(np.int64))], names=["row", "at", "shape", "hash"])
 
-    def merge(table: pa.Table) -> pa.Table:
-        total = np.zeros(1 << CELL_BITS, np.int64)
-        for c, n in zip(table.column("cells"), table.column("counts"), strict=True):
-            total[np.frombuffer(c.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), np.uint16)
-        packed = [np.packbits(total > most, bitorder="little").tobytes() for most in (1, hot)]
-        return pa.Table.from_arrays([table.column("row").slice(0, 1), table.column("block").slice(0, 1), *(pa.array([x], pa.binary()) for x in packed)], names=["row", "block", "again", "hot"])
+    return common.settled(rows.select("row", "raw").mapInArrow(run, "row long, at int, shape int, hash long"))
 
-    merged = rows.select("raw").mapInArrow(own_sketch, schema).groupBy("row", "block").applyInArrow(merge, "row int, block int, again binary, hot binary")
-    arrays = [[np.zeros(1 << (bits - 3), np.uint8) for _ in ROWS] for _ in range(2)]
-    size = 1 << (CELL_BITS - 3)
-    for r in merged.toLocalIterator():  # two bits a cell and row in all
-        for array, name in zip(arrays, ("again", "hot"), strict=True):
-            array[r["row"]][r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r[name], np.uint8)
-    packed = [[zlib.compress(row.tobytes(), 1) for row in kind] for kind in arrays]
-    return rows.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, packed)), bits
 
+BLOCK_BITS = 10  # cells of a block of the sketch, in each of two rows
+BLOCK = 1 << BLOCK_BITS
 
-_opened: dict[str, list[list[np.ndarray]]] = {}
 
+def _partial(parts: int, blocks_each: int):
+    """Sparse sketches of a task's anchors, cut into ranges of blocks."""
 
-def _open(shared: tuple) -> list[list[np.ndarray]]:
-    """The bit arrays of a merged sketch; a worker unpacks them once."""
-    token, packed = shared[0].value
-    if token not in _opened:
-        _opened.clear()
-        _opened[token] = [[np.frombuffer(zlib.decompress(row), np.uint8) for row in kind] for kind in packed]
-    return _opened[token]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
 
+        def out() -> pa.RecordBatch:
+            cell, count = np.unique(np.concatenate(held) if held else np.empty(0, np.int64), return_counts=True)
+            part = cell // (blocks_each * 2 * BLOCK)
+            edges = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(cell)] if len(cell) else np.zeros(1, np.int64)
+            low, count = (cell - part * (blocks_each * 2 * BLOCK)).astype(np.uint32), np.minimum(count, (1 << 16) - 1).astype(np.uint16)
+            cut = list(zip(edges[:-1], edges[1:], strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]], pa.int64()), pa.array([low[a:b].tobytes() for a, b in cut], pa.binary()), pa.array([count[a:b].tobytes() for a, b in cut], pa.binary())], names=["part", "cells", "counts"])
+
+        for batch in batches:
+            block = batch.column("block").to_numpy() * (2 * BLOCK)
+            held += [block + batch.column("c1").to_numpy(), block + BLOCK + batch.column("c2").to_numpy()]
+            if sum(map(len, held)) >= 2 * FLUSH:
+                yield out()
+                held = []
+        yield out()
 
-def marked(shared: tuple, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which hashes may occur again, and which of these may be hot."""
-    (again, hot), own = _open(shared), cells(hashes, shared[1])
-    return tuple(np.logical_and.reduce([(row[c >> 3] >> (c & 7).astype(np.uint8) & 1).astype(bool) for row, c in zip(kind, own, strict=True)]) for kind in (again, hot))
+    return run
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
-    """(key, id, raw) and more: a row's key is a hash of its id and text; equal rows share it and get equal results."""
-    return df.select(*more, F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("raw"))
+def _merged(blocks_each: int, hot: int):
+    """Partial sketches in order of their range: for each block with cells that were hit again, bits that say which, and which were often."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = None, np.zeros(blocks_each * 2 * BLOCK, np.uint32)
+
+        def out() -> pa.RecordBatch:
+            by_block = total.reshape(blocks_each, 2 * BLOCK)
+            own = np.flatnonzero((by_block > 1).any(axis=1))
+            bits = [np.packbits(by_block[own] > most, axis=1, bitorder="little").view(np.int64) for most in (1, hot)]
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * (2 * BLOCK // 64), pa.int32()), pa.array(b.ravel())) for b in bits]
+            return pa.RecordBatch.from_arrays([pa.array(own + part * blocks_each), *lists], names=["of", "again", "often"])
+
+        for batch in batches:
+            for p, cells, counts in zip(*(batch.column(c) for c in ("part", "cells", "counts")), strict=True):
+                if part is not None and p.as_py() != part:
+                    yield out()
+                    total[:] = 0
+                part = p.as_py()
+                total[np.frombuffer(cells.as_buffer(), np.uint32)] += np.frombuffer(counts.as_buffer(), np.uint16)
+        if part is not None:
+            yield out()
 
-HOT = "key long, id long, hash long, before int, firsts array<int>, body binary"
+    return run
 
 
-def hot_rows(rows: DataFrame, symbols: Callable[[bytes], np.ndarray], body: Callable[[Anchors, np.ndarray, list[bytes]], list[bytes]], shared: tuple, k: int, span: int) -> DataFrame:
-    """The occurrences of hot anchors with what stands around them, as a written table in the shared folder.
+def passing(found: DataFrame, hot: int, each: int = 4) -> DataFrame:
+    """The occurrences whose hash may occur again by the merged sketch, and whether more than ``hot`` times.
 
-    ``before`` symbols of the body stand before the anchor.  Equal bodies in one text are one row, with all their places.
+    The sketch has ``each`` cells for an anchor in each of its two rows; ranges of blocks hold some four million anchors (fewer on small tables, for some parallel work).
+    """
+    n = max(1, found.count())
+    block_bits = max(9, (n * each >> BLOCK_BITS).bit_length())
+    parts = 1 << max(8, min(block_bits, (n >> 22).bit_length()))
+    blocks_each = (1 << block_bits) // parts
+    h = F.xxhash64("hash")
+    celled = found.withColumns({"block": F.shiftrightunsigned(h, 64 - block_bits), "c1": h.bitwiseAND(BLOCK - 1), "c2": F.shiftright(h, BLOCK_BITS).bitwiseAND(BLOCK - 1) + BLOCK})
+    partial = celled.select("block", "c1", (F.col("c2") - BLOCK).alias("c2")).mapInArrow(_partial(parts, blocks_each), "part long, cells binary, counts binary")
+    blocks = partial.repartition("part").sortWithinPartitions("part").mapInArrow(_merged(blocks_each, hot), "of long, again array<long>, often array<long>")
+    hit = lambda bits: " and ".join(f"(shiftright({bits}[cast(shiftright({c}, 6) as int)], cast({c} & 63 as int)) & 1) = 1" for c in ("c1", "c2"))
+    return celled.join(blocks, F.col("block") == F.col("of")).filter(hit("again")).select("row", "at", "shape", "hash", F.expr(hit("often")).alias("hot"))
+
+
+def repeated(rows: DataFrame, symbols: Callable[[bytes], np.ndarray], k: int, span: int, hot: int) -> tuple[str, str]:
+    """Folders of the occurrences of anchors that may occur again, laid beside the texts: the usual ones, and those that may be hot."""
+    found = occurrences(rows, symbols, k, span)
+    marked = common.settled(passing(found, hot))
+    out = tuple(laid(marked.filter(which).drop("hot")) for which in ("not hot", "hot"))
+    common.drop(found, marked)
+    return out
+
+
+def around(path: str, cut: Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], list[bytes]], span: int):
+    """A function for ``mapInArrow`` over placed texts: (row, id, hash, at, first, body) of the occurrences laid beside them.
+
+    ``cut`` gives the bodies: what the windows of an occurrence cover, from its first symbol to its stop.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        beside = Beside(path)
         for batch in common.slices(batches):
-            key, name, raw = batch.column("key").to_numpy(zero_copy_only=False), batch.column("id"), batch.column("raw").to_pylist()
-            for a in anchors((symbols(x) for x in raw), k, span):
-                at = np.flatnonzero(marked(shared, a.hash)[1])
-                if not len(at):
-                    continue
-                found: dict[tuple, list[int]] = {}
-                for x in zip(a.text[at].tolist(), a.hash[at].view(np.int64).tolist(), (a.at[at] - a.first[at]).tolist(), body(a, at, raw), a.first[at].tolist(), strict=True):
-                    found.setdefault(x[:4], []).append(x[4])
-                text, hashes, before, bodies = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key[list(text)]), name.take(pa.array(text)), pa.array(hashes, pa.int64()), pa.array(before, pa.int32()), pa.array(list(found.values()), pa.list_(pa.int32())), pa.array(bodies, pa.binary())], names=["key", "id", "hash", "before", "firsts", "body"])
-
-    path = common.scratch(rows.sparkSession, "hot")
-    rows.mapInArrow(run, HOT).write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(HOT).parquet(path)
+            name = batch.column("row").to_numpy()
+            texts, found = beside.of(name)
+            if found is None or not len(texts):
+                continue
+            raw, (at, shape) = batch.column("raw").to_pylist(), (found.column(c).to_numpy().astype(np.int64) for c in ("at", "shape"))
+            first = at - (shape >> 16)
+            body = cut(raw, texts, first, first + (shape & 0xFFFF) + span)
+            yield pa.RecordBatch.from_arrays([pa.array(name[texts]), batch.column("id").take(pa.array(texts)), found.column("hash").combine_chunks(), pa.array(at, pa.int32()), pa.array(first, pa.int32()), pa.array(body, pa.binary())], names=["row", "id", "hash", "at", "first", "body"])
+
+    return run
 
 
+AROUND = "row long, id long, hash long, at int, first int, body binary"
+CONTEXT = "row long, own long, firsts array<int>, hash long, low int, high int, before int, body binary"
 VALUES = "c1 long, c2 long, vals array<long>"
-SINGLE = "c1 long, c2 long, hash long, place int, window long, own long"
 
 
-def resolve_hot(hot: DataFrame, start: Column, combine: Callable[[Column], Column], removes: Callable[[Column], Column], few: Callable, single: Callable, span: int, most: int) -> DataFrame:
-    """(key, id, start, stop) of the windows of hot anchors that are to go.
+def contexts(found: DataFrame, own: Column, wide: int) -> DataFrame:
+    """``CONTEXT`` rows of occurrences: equal bodies of one text are one row, with all their places.  Windows start 0 to ``wide`` - 1 symbols before an anchor."""
+    by = found.groupBy("row", own.cast("long").alias("own"), "hash", (F.col("at") - F.col("first")).alias("before"), "body").agg(F.collect_set("first").alias("firsts"))
+    return by.select("row", "own", "firsts", "hash", F.lit(0).alias("low"), F.lit(wide).alias("high"), "before", "body")
 
-    ``start`` is the aggregate over rows of equal context (a count, or the least id), ``combine`` that over contexts, and
-    ``removes`` tells from a window's combined value and the row's own id whether it goes.  Equal contexts are combined first,
-    map-side too.  An anchor of at most ``most`` distinct contexts is solved by one task (``few``: contexts in order of hash to
-    ``VALUES``).  One of more is spread by window (``single``: contexts to ``SINGLE``): a window's value, pre-aggregated, comes back to its contexts
-    by a join on the window's hash.  Joins are on one of two hashes, the other is a condition: so both sides have exchanges of their own and adaptive
-    execution may split hot keys.
+
+def halves(symbols: Callable[[bytes], list | bytes], joined: Callable, span: int):
+    """Cut contexts in two by their windows' offsets before the anchor.  A half's group is named by the symbols that all its windows share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            rows = []
+            for row, own, firsts, _, low, high, before, body in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                parts, middle = symbols(body), (low + high) // 2
+                last = len(parts) - span  # the last window's start
+                for a, b, l, h in ((0, min(last, before - middle), middle, high), (max(0, before - middle + 1), last, low, middle)):
+                    if a <= b and l < h:
+                        left = before - a
+                        cut = parts[a : b + span]
+                        core = hashlib.blake2b(b"%d %d " % (l, h) + joined(cut[left - l : left + span - h + 1]), digest_size=8).digest()
+                        rows.append((row, own, [x + a for x in firsts], int.from_bytes(core, "little", signed=True), l, h, left, joined(cut)))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["row", "own", "firsts", "hash", "low", "high", "before", "body"])
+
+    return run
+
+
+def resolve(rows: DataFrame, start: Column, removes: Callable[[Column], Column], few: Callable, half: Callable, span: int, most: int) -> list[DataFrame]:
+    """Tables of (row, start, stop) of the windows of hot anchors that are to go.
+
+    Rows are ``CONTEXT``.  ``start`` is the aggregate over rows of equal context (a count, or the least owner): equal contexts
+    are combined first, map-side too.  A group of at most ``most`` distinct ones is solved by one task (``few``: contexts in order of hash to ``VALUES``, a
+    value for each window), and ``removes`` tells from a window's value and the row's owner whether it goes.  The rows of other
+    groups are cut in two by their windows' offsets (``half``) and grouped anew, by all that their windows then share; after
+    ``log2(span)`` cuts a context is one window, and equal ones are one.  So groups end up small whatever their anchor's number.
     """
-    parts = ("hash", "before", "body")
-    rows = hot.withColumns({"row1": F.xxhash64(*parts), "row2": F.xxhash64(F.lit(1), *parts)})
-    contexts = common.settled(rows.groupBy("row1", "row2", *parts).agg(start.cast("long").alias("own")).withColumnsRenamed({"row1": "c1", "row2": "c2"}))
-    big = contexts.groupBy("hash", F.xxhash64("hash").alias("h2")).count().filter(F.col("count") > most).select(F.col("hash").alias("h1"), "h2")
-    tagged = contexts.join(big, (F.col("hash") == F.col("h1")) & (F.xxhash64("hash").bitwiseXOR(F.col("h2")) == 0), "left")
-    solved = tagged.filter("h1 is null").select("c1", "c2", *parts, "own").repartition("hash").sortWithinPartitions("hash").mapInArrow(few, VALUES)
-    spread = tagged.filter("h1 is not null").select("c1", "c2", *parts, "own").mapInArrow(single, SINGLE)
-    values = spread.groupBy("hash", "window").agg(combine(F.col("own")).alias("v")).withColumnsRenamed({"hash": "vhash", "window": "vwindow"})
-    back = spread.join(values, (F.col("window") == F.col("vwindow")) & (F.col("hash").bitwiseXOR(F.col("vhash")) == 0))
-    again = back.groupBy("c1", "c2").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "v"))), lambda x: x["v"]).alias("vals"))  # at most one window's length
-    found = solved.unionByName(again)
-    joined = rows.join(found, (F.col("row1") == F.col("c1")) & (F.col("row2").bitwiseXOR(F.col("c2")) == 0))
-    places = F.transform("vals", lambda v, i: F.when(removes(v), i))
-    gone = joined.withColumn("gone", F.filter(places, lambda i: i.isNotNull())).filter(F.size("gone") > 0)
-    ends = gone.select("key", "id", F.explode("firsts").alias("first"), F.element_at("gone", 1).alias("low"), F.element_at("gone", -1).alias("high"))
-    return ends.select("key", "id", (F.col("first") + F.col("low")).cast("int").alias("start"), (F.col("first") + F.col("high") + span).cast("int").alias("stop"))
+    out, held = [], common.settled(rows)
+    while True:
+        parts = ("hash", "before", "body")
+        named = held.withColumns({"row1": F.xxhash64(*parts), "row2": F.xxhash64(F.lit(1), *parts)})
+        distinct = common.settled(named.groupBy("row1", "row2", *parts, (F.col("high") - F.col("low") > 1).alias("wide")).agg(start.cast("long").alias("own")).withColumnsRenamed({"row1": "c1", "row2": "c2"}))
+        # Joins are on one of two hashes, the other is a condition: so both sides have exchanges of their own and adaptive execution may split hot keys.
+        big = common.settled(distinct.filter("wide").groupBy("hash", F.xxhash64("hash").alias("h2")).count().filter(F.col("count") > most).select(F.col("hash").alias("h1"), "h2"))
+        in_big = (F.col("hash") == F.col("h1")) & (F.xxhash64("hash").bitwiseXOR(F.col("h2")) == 0)
+        solved = distinct.join(big, in_big, "left_anti").select("c1", "c2", *parts, "own").repartition("hash").sortWithinPartitions("hash").mapInArrow(few, VALUES)
+        met = named.join(solved, (F.col("row1") == F.col("c1")) & (F.col("row2").bitwiseXOR(F.col("c2")) == 0))
+        places = F.filter(F.transform("vals", lambda v, i: F.when(removes(v), i)), lambda i: i.isNotNull())
+        gone = met.withColumn("gone", places).filter(F.size("gone") > 0)
+        ends = gone.select("row", F.explode("firsts").alias("first"), F.element_at("gone", 1).alias("low"), F.element_at("gone", -1).alias("high"))
+        out.append(ends.select("row", (F.col("first") + F.col("low")).cast("int").alias("start"), (F.col("first") + F.col("high") + span).cast("int").alias("stop")))
+        if not big.limit(1).count():
+            return out
+        held = common.settled(held.join(big, in_big, "left_semi").mapInArrow(half, CONTEXT))
 
 
 def values_batch(table: pa.Table, flat: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
@@ -305,13 +391,6 @@ def values_batch(table: pa.Table, flat: np.ndarray, sizes: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays([table.column("c1").combine_chunks(), table.column("c2").combine_chunks(), pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int64)))], names=["c1", "c2", "vals"])
 
 
-def single_batch(batch: pa.RecordBatch, flat: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-    """``SINGLE`` for contexts and their windows' hashes, one after another."""
-    row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("c1", "c2", "hash")), pa.array(place.astype(np.int32)), pa.array(flat), batch.column("own").take(row)], names=["c1", "c2", "hash", "place", "window", "own"])
-
-
 def grouped(batches: Iterator[pa.RecordBatch], solve) -> Iterator[pa.RecordBatch]:
     """Solve whole groups of rows of equal ``hash``; the last group of a batch waits for the next batch."""
     held: list[pa.RecordBatch] = []
@@ -331,21 +410,28 @@ def grouped(batches: Iterator[pa.RecordBatch], solve) -> Iterator[pa.RecordBatch
         yield solve(pa.Table.from_batches(held))
 
 
-def spans_by_text(spans: DataFrame) -> DataFrame:
-    """(key, id, spans): a text's spans, each packed as start * 2**32 + stop."""
-    return spans.groupBy("key", "id").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop")).alias("spans"))
+def spans_beside(tables: list[DataFrame]) -> str:
+    """Spans (row, start, stop) laid beside the texts."""
+    every = tables[0]
+    for t in tables[1:]:
+        every = every.unionByName(t)
+    return laid(every.select("row", (F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop")).alias("span")))
 
 
-def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """Every row with its spans, or null."""
-    found = spans_by_text(spans).withColumnsRenamed({"key": "skey", "id": "sid"})
-    return rows.join(found, (F.col("key") == F.col("skey")) & F.col("id").eqNullSafe(F.col("sid")), "left").select("id", "raw", "spans")
+def spans_of(beside: Beside, rows: np.ndarray) -> list[list[tuple[int, int]]]:
+    """The maximal runs to remove of each of a batch's rows."""
+    at, found = beside.of(rows)
+    packed: list[list[int]] = [[] for _ in rows]
+    if found is not None:
+        for i, x in zip(at.tolist(), found.column("span").to_pylist(), strict=True):
+            packed[i].append(x)
+    return [union(p) for p in packed]
 
 
-def union(packed: list[int] | None) -> list[tuple[int, int]]:
-    """Maximal runs of packed spans."""
+def union(packed: list[int]) -> list[tuple[int, int]]:
+    """Maximal runs of spans, each packed as start * 2**32 + stop."""
     out: list[list[int]] = []
-    for x in sorted(packed or ()):
+    for x in sorted(packed):
         a, b = x >> 32, x & 0xFFFFFFFF
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
