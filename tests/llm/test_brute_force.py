@@ -104,7 +104,7 @@ def test_near_duplicates_equal_comparing_all_pairs(docs, texts, size):
                 if 100 * both >= 80 * (len(p) + len(q) - both):
                     a, b = sorted((find(x), find(y)))
                     parent[b] = a
-    got = {r.id: tuple(r) for r in neardup.near_duplicates(docs, words=size, bits=18).collect()}
+    got = {r.id: tuple(r) for r in neardup.near_duplicates(docs, words=size).collect()}
     for x in names:
         assert got[x] == (x, len(sets[x]), find(x), find(x) == x)
 
@@ -120,9 +120,26 @@ def test_registers_of_a_union_are_maxima_and_likelihood_finds_the_similarity():
     assert abs(guess - 2600 / 5000) < 0.2
 
 
-def test_packed_sets_come_back():
-    x = np.unique(np.random.default_rng(2).integers(0, 1 << 63, 300, dtype=np.uint64))
-    assert (neardup.unpack(neardup.pack(x)) == np.unique(x >> np.uint64(16))).all()
+@pytest.mark.parametrize("shared", [10, 14, 17])
+def test_thousands_of_dissimilar_sets_of_one_template(spark, shared):
+    """All share a template, so buckets hold them together; the few pairs that are similar are found, and others aren't even paired."""
+    r = Random(shared)
+    template = [f"t{i}" for i in range(shared * 5)]
+    texts = [" ".join(template + [f"u{n}x{i}" for i in range(100 - shared * 5)]) for n in range(1500)]
+    texts += [t.replace("x0", "y0") for t in texts[:40]]
+    names = list(range(len(texts)))
+    r.shuffle(names)
+    df = spark.createDataFrame(list(zip(names, texts, strict=True)), "doc_id long, text string")
+    got = {x.id: x.component_id for x in neardup.near_duplicates(df, words=1).collect()}
+    for n in range(1500):
+        want = min(names[n], names[1500 + n]) if n < 40 else names[n]
+        assert got[names[n]] == want and (n >= 40 or got[names[1500 + n]] == want)
+
+
+def test_representatives_keep_one_row_of_repeated_ones(spark):
+    rows = [(1, "the same long text of some words", "a")] * 1000 + [(2, "the same long text of some words", "a"), (3, "another text of its own here", "b")] + [(None, "no id at all in this text", "c")] * 5 + [(4, "", None)] * 3
+    out = neardup.representatives(spark.createDataFrame(rows, "doc_id long, text string, id string")).collect()
+    assert sorted(map(str, (tuple(r) for r in out))) == sorted(map(str, [(1, rows[0][1], "a"), (3, rows[1001][1], "b"), (None, rows[1002][1], "c"), (4, "", None)]))
 
 
 def test_components_of_chains_and_stars(spark):
@@ -177,13 +194,14 @@ def test_word_hashes_cut_as_python_does():
     assert len(h) == len(words) and all((h[i] == h[j]) == (words[i] == words[j]) for i in range(len(h)) for j in range(len(h)))
 
 
-def test_ann_recall(spark):
-    df = common.table(spark, "/root/testdata/sf0.01", "embeddings")
+@pytest.mark.parametrize("options", [{}, {"shard_rows": 40, "leaf": 8, "most_cells": 4, "sample_rows": 100}])
+def test_ann_recall(spark, options):
+    df = common.table(spark, "/root/testdata/sf0.1", "embeddings")
     rows = df.collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
     hits = total = 0
     got = defaultdict(list)
-    for r in ann.nearest(df, df.filter("vec_id % 10 = 0"), shard_rows=200, block_rows=16, leaf=16).orderBy("query_id", "rank").collect():
+    for r in ann.nearest(df, df.filter("vec_id % 10 = 0"), **options).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     for q, found in got.items():
         d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(axis=1))
@@ -192,7 +210,18 @@ def test_ann_recall(spark):
         hits += len({v for v, _ in found} & set(best.tolist()))
         total += 10
         assert all(abs(d[ids == v][0] - s) < 1e-12 for v, s in found)
-    assert len(got) == 50 and hits / total >= 0.95
+    verified = ann.visits(df, df.filter("vec_id % 10 = 0"), **options).agg(F.sum("verified")).first()[0]
+    assert len(got) == 200 and hits / total >= 0.9 and (options or verified < 0.8 * len(got) * len(ids))
+
+
+def test_ann_ties_go_to_smaller_ids(spark):
+    rows = [(i, [1.0, 0.0, 0.0, 0.0]) for i in range(500, 0, -1)] + [(1000 + i, [0.0, 1.0, 0.0, i / 1000]) for i in range(50)] + [(7, [1.0, 0.0, 0.0, 0.0])] * 30
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.nearest(df, df.filter("vec_id in (1, 2, 400, 1000)"), shard_rows=16).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    first = list(range(1, 12))
+    assert got[1] == first[1:] and got[2] == [1, *first[2:]] and got[400] == first[:10] and len(got[1000]) == 10
 
 
 def test_chi_square_quantile():
@@ -348,5 +377,5 @@ def test_licences_of_all_lines_are_the_plain_models(spark):
 @pytest.mark.parametrize("size", [2, 5])
 def test_a_text_of_exactly_a_shingle_equals_its_repeats(spark, size):
     rows = [(1, "ok " * size), (2, "ok " * (size + 1)), (3, "ok " * (size + 4)), (4, "ok " * (size - 1)), (5, "no " * size)]
-    got = {r.id: tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=size, bits=16).collect()}
+    got = {r.id: tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=size).collect()}
     assert got == {1: (1, 1, 1, True), 2: (2, 1, 1, False), 3: (3, 1, 1, False), 4: (4, 1, 4, True), 5: (5, 1, 5, True)}

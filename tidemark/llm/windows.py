@@ -326,23 +326,17 @@ def around(path: str, cut: Callable[[list[bytes], np.ndarray, np.ndarray, np.nda
 
 
 AROUND = "row long, id long, hash long, at int, first int, body binary"
-CONTEXT = "row long, own long, firsts array<int>, hash long, low int, high int, before int, body binary"
+CONTEXT = "p1 long, p2 long, shift int, hash long, low int, high int, before int, body binary, own long"
 VALUES = "c1 long, c2 long, vals array<long>"
 
 
-def contexts(found: DataFrame, own: Column, wide: int) -> DataFrame:
-    """``CONTEXT`` rows of occurrences: equal bodies of one text are one row, with all their places.  Windows start 0 to ``wide`` - 1 symbols before an anchor."""
-    by = found.groupBy("row", own.cast("long").alias("own"), "hash", (F.col("at") - F.col("first")).alias("before"), "body").agg(F.collect_set("first").alias("firsts"))
-    return by.select("row", "own", "firsts", "hash", F.lit(0).alias("low"), F.lit(wide).alias("high"), "before", "body")
-
-
 def halves(symbols: Callable[[bytes], list | bytes], joined: Callable, span: int):
     """Cut contexts in two by their windows' offsets before the anchor.  A half's group is named by the symbols that all its windows share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             rows = []
-            for row, own, firsts, _, low, high, before, body in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+            for p1, p2, shift, _, low, high, before, body, own in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
                 parts, middle = symbols(body), (low + high) // 2
                 last = len(parts) - span  # the last window's start
                 for a, b, l, h in ((0, min(last, before - middle), middle, high), (max(0, before - middle + 1), last, low, middle)):
@@ -350,39 +344,51 @@ def halves(symbols: Callable[[bytes], list | bytes], joined: Callable, span: int
                         left = before - a
                         cut = parts[a : b + span]
                         core = hashlib.blake2b(b"%d %d " % (l, h) + joined(cut[left - l : left + span - h + 1]), digest_size=8).digest()
-                        rows.append((row, own, [x + a for x in firsts], int.from_bytes(core, "little", signed=True), l, h, left, joined(cut)))
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["row", "own", "firsts", "hash", "low", "high", "before", "body"])
+                        rows.append((p1, p2, shift + a, int.from_bytes(core, "little", signed=True), l, h, left, joined(cut), own))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=[x.split()[0] for x in CONTEXT.split(", ")])
 
     return run
 
 
-def resolve(rows: DataFrame, start: Column, removes: Callable[[Column], Column], few: Callable, half: Callable, span: int, most: int) -> list[DataFrame]:
-    """Tables of (row, start, stop) of the windows of hot anchors that are to go.
+def resolve(found: DataFrame, owner: Column, start: Column, combine: Callable[[str], Column], removes: Callable[[Column], Column], few: Callable, half: Callable, span: int, wide: int, most: int) -> DataFrame:
+    """(row, spans) of the windows of hot anchors that are to go, out of ``AROUND`` rows.
 
-    Rows are ``CONTEXT``.  ``start`` is the aggregate over rows of equal context (a count, or the least owner): equal contexts
-    are combined first, map-side too.  A group of at most ``most`` distinct ones is solved by one task (``few``: contexts in order of hash to ``VALUES``, a
-    value for each window), and ``removes`` tells from a window's value and the row's owner whether it goes.  The rows of other
-    groups are cut in two by their windows' offsets (``half``) and grouped anew, by all that their windows then share; after
-    ``log2(span)`` cuts a context is one window, and equal ones are one.  So groups end up small whatever their anchor's number.
+    Equal contexts (the body, and where the anchor stands in it) are put together first, map-side too; ``start`` is the aggregate over their
+    occurrences (a count, or the least owner) and ``combine`` that over contexts.  A group of at most ``most`` distinct ones is solved by one
+    task (``few``: contexts in order of hash to ``VALUES``, a value for each window).  The contexts of other groups are cut in two by
+    their windows' offsets before the anchor, from 0 to ``wide`` - 1 (``half``), and grouped anew by all that their windows then share; after
+    ``log2(wide)`` cuts a context is one window, and equal ones are one.  So groups end up small whatever their anchor's number.  The
+    values of its windows come back to a context, and ``removes`` tells from a value and the occurrence's owner whether a window goes.
     """
-    out, held = [], common.settled(rows)
+    parts = ("hash", "before", "body")
+    places = found.groupBy("row", owner.cast("long").alias("owner"), "hash", (F.col("at") - F.col("first")).alias("before"), "body").agg(F.collect_set("first").alias("firsts"))
+    named = common.settled(places.withColumns({"row1": F.xxhash64(*parts), "row2": F.xxhash64(F.lit(1), *parts)}))
+    whole = named.groupBy("row1", "row2", *parts).agg(start.cast("long").alias("own"))
+    level = common.settled(whole.select(F.col("row1").alias("p1"), F.col("row2").alias("p2"), F.lit(0).alias("shift"), "hash", F.lit(0).alias("low"), F.lit(wide).alias("high"), "before", "body", "own"))
+    solved = None
     while True:
-        parts = ("hash", "before", "body")
-        named = held.withColumns({"row1": F.xxhash64(*parts), "row2": F.xxhash64(F.lit(1), *parts)})
-        distinct = common.settled(named.groupBy("row1", "row2", *parts, (F.col("high") - F.col("low") > 1).alias("wide")).agg(start.cast("long").alias("own")).withColumnsRenamed({"row1": "c1", "row2": "c2"}))
+        marked = level.withColumns({"row1": F.xxhash64(*parts), "row2": F.xxhash64(F.lit(1), *parts)})
+        distinct = common.settled(marked.groupBy("row1", "row2", *parts, (F.col("high") - F.col("low") > 1).alias("more")).agg(combine("own").alias("own")).withColumnsRenamed({"row1": "c1", "row2": "c2"}))
         # Joins are on one of two hashes, the other is a condition: so both sides have exchanges of their own and adaptive execution may split hot keys.
-        big = common.settled(distinct.filter("wide").groupBy("hash", F.xxhash64("hash").alias("h2")).count().filter(F.col("count") > most).select(F.col("hash").alias("h1"), "h2"))
+        big = common.settled(distinct.filter("more").groupBy("hash", F.xxhash64("hash").alias("h2")).count().filter(F.col("count") > most).select(F.col("hash").alias("h1"), "h2"))
         in_big = (F.col("hash") == F.col("h1")) & (F.xxhash64("hash").bitwiseXOR(F.col("h2")) == 0)
-        solved = distinct.join(big, in_big, "left_anti").select("c1", "c2", *parts, "own").repartition("hash").sortWithinPartitions("hash").mapInArrow(few, VALUES)
-        met = named.join(solved, (F.col("row1") == F.col("c1")) & (F.col("row2").bitwiseXOR(F.col("c2")) == 0))
-        places = F.filter(F.transform("vals", lambda v, i: F.when(removes(v), i)), lambda i: i.isNotNull())
-        gone = met.withColumn("gone", places).filter(F.size("gone") > 0)
-        ends = gone.select("row", F.explode("firsts").alias("first"), F.element_at("gone", 1).alias("low"), F.element_at("gone", -1).alias("high"))
-        out.append(ends.select("row", (F.col("first") + F.col("low")).cast("int").alias("start"), (F.col("first") + F.col("high") + span).cast("int").alias("stop")))
+        values = distinct.join(big, in_big, "left_anti").select("c1", "c2", *parts, "own").repartition("hash").sortWithinPartitions("hash").mapInArrow(few, VALUES)
+        own = common.settled(marked.select("p1", "p2", "shift", "row1", "row2").join(values, (F.col("row1") == F.col("c1")) & (F.col("row2").bitwiseXOR(F.col("c2")) == 0)).select("p1", "p2", "shift", "vals"))
+        solved = own if solved is None else solved.unionByName(own)
         if not big.limit(1).count():
-            return out
-        held = common.settled(held.join(big, in_big, "left_semi").mapInArrow(half, CONTEXT))
+            break
+        level = common.settled(level.join(big, in_big, "left_semi").mapInArrow(half, CONTEXT))
+    # A context's windows are in one solved part each: at most ``wide`` parts.
+    joined = solved.groupBy("p1", "p2").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("shift", "vals"))), lambda x: x["vals"])).alias("vals"))
+    met = named.join(joined, (F.col("row1") == F.col("p1")) & (F.col("row2").bitwiseXOR(F.col("p2")) == 0))
+    gone = met.withColumn("gone", F.filter(F.transform("vals", lambda v, i: F.when(removes(v), i)), lambda i: i.isNotNull())).filter(F.size("gone") > 0)
+    low, high = F.element_at("gone", 1), F.element_at("gone", -1)
+    return gone.select("row", F.transform("firsts", lambda x: packed_span(x + low, x + high + span)).alias("spans"))
+
+
+def packed_span(start: Column, stop: Column) -> Column:
+    return F.shiftleft(start.cast("long"), 32) + stop
 
 
 def values_batch(table: pa.Table, flat: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
@@ -410,12 +416,9 @@ def grouped(batches: Iterator[pa.RecordBatch], solve) -> Iterator[pa.RecordBatch
         yield solve(pa.Table.from_batches(held))
 
 
-def spans_beside(tables: list[DataFrame]) -> str:
-    """Spans (row, start, stop) laid beside the texts."""
-    every = tables[0]
-    for t in tables[1:]:
-        every = every.unionByName(t)
-    return laid(every.select("row", (F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop")).alias("span")))
+def spans_beside(usual: DataFrame, often: DataFrame) -> str:
+    """Spans (row, start, stop) and (row, spans) laid beside the texts."""
+    return laid(usual.select("row", F.array(packed_span(F.col("start"), F.col("stop"))).alias("spans")).unionByName(often))
 
 
 def spans_of(beside: Beside, rows: np.ndarray) -> list[list[tuple[int, int]]]:
@@ -423,8 +426,8 @@ def spans_of(beside: Beside, rows: np.ndarray) -> list[list[tuple[int, int]]]:
     at, found = beside.of(rows)
     packed: list[list[int]] = [[] for _ in rows]
     if found is not None:
-        for i, x in zip(at.tolist(), found.column("span").to_pylist(), strict=True):
-            packed[i].append(x)
+        for i, x in zip(at.tolist(), found.column("spans").to_pylist(), strict=True):
+            packed[i] += x
     return [union(p) for p in packed]
 
 
