@@ -99,12 +99,14 @@ def _samples() -> list[tuple[set[str], str, int]]:
 
 
 FOLDS = 5
+# A template confirms from the first share on, and by itself from the second; a share of a paragraph's n-grams counts only if they are some.
+LEAST_OVERLAP, SURE_OVERLAP, LEAST_GRAMS = 0.7, 0.95, 5
 
 
 class Model:
     """Weights by n-gram and class, template n-grams, what each n-gram can add, and the calibrated probabilities."""
 
-    def __init__(self, rounds: int = 120, rate: float = 2.0, ridge: float = 2e-3):
+    def __init__(self, rounds: int = 200, rate: float = 2.0, ridge: float = 2e-3):
         samples = _samples()
         self.families = sorted({f for _, f, _ in samples})
         vocabulary = {g: i for i, g in enumerate(sorted(set().union(*(g for g, _, _ in samples))))}
@@ -115,27 +117,32 @@ class Model:
         y = np.array([[f == own for f in self.families] for _, own, _ in samples], np.float32)
         fold = np.array([i for *_, i in samples])
 
+        alike = x @ x.T
+
         def fitted(rows: np.ndarray) -> np.ndarray:
-            share = y[rows] / y[rows].sum(axis=0)  # classes weigh alike, but for no licence, which is the usual case
+            """A weight for each sample and class; the weights of n-grams are the samples' sums of them."""
+            own, k = y[rows], alike[np.ix_(rows, rows)]
+            share = own / own.sum(axis=0)  # classes weigh alike, but for no licence, which is the usual case
             weight = (share * np.where(np.array(self.families) == NONE, 4, 1)).sum(axis=1, keepdims=True, dtype=np.float32)
-            w = np.zeros((x.shape[1], y.shape[1]), np.float32)
-            momentum = np.zeros_like(w)
+            a, momentum = np.zeros_like(own), np.zeros_like(own)
             for _ in range(rounds):
-                z = x[rows] @ w
+                z = k @ a
                 p = np.exp(z - z.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
-                momentum = 0.9 * momentum - np.float32(rate / len(self.families)) * (x[rows].T @ ((p - y[rows]) * weight) + ridge * w)
-                w += momentum
-            return w
+                momentum = np.float32(0.9) * momentum - np.float32(rate / len(self.families)) * ((p - own) * weight + np.float32(ridge) * a)
+                a += momentum
+            out = np.zeros_like(y)
+            out[rows] = a
+            return out
 
         held = np.zeros_like(y)
         for i in range(FOLDS):
-            held[fold == i] = x[fold == i] @ fitted(fold != i)
-        self._calibrate(held, y)
-        w = fitted(np.ones(len(samples), bool))
+            held[fold == i] = alike[fold == i] @ fitted(np.flatnonzero(fold != i))
+        self.templates = [(f, i, _grams(_tokens(n))) for f, notices in TEMPLATES.items() for i, n in enumerate(notices)]
+        self._calibrate(held, y, [g for g, *_ in samples])
+        w = x.T @ fitted(np.arange(len(samples)))
         self.weights = {f: {g: float(w[i, j]) for g, i in vocabulary.items()} for j, f in enumerate(self.families)}
         self.bias = {f: float(w[-1, j]) for j, f in enumerate(self.families)}
-        self.templates = [(f, i, _grams(_tokens(n))) for f, notices in TEMPLATES.items() for i, n in enumerate(notices)]
         # The most that any class gains on no licence: by its bias, and by each n-gram, rounded up to quarters.
         others = [f for f in self.families if f != NONE]
         self.ahead = max(self.bias[f] for f in others) - self.bias[NONE]
@@ -149,8 +156,13 @@ class Model:
             word = min(g.split(), key=lambda w: (prose[w], w))
             self.charges[word] = self.charges.get(word, 0.0) + max(gain, 0.0)
 
-    def _calibrate(self, z: np.ndarray, y: np.ndarray) -> None:
-        """A temperature of the least surprise on held-out samples; then the least probability of a family at which 19 in 20 are right, and that of no licence which 19 in 20 reach."""
+    def overlap(self, grams: set[str], family: str) -> float:
+        """The largest share that the n-grams have of a template of the family, or it of theirs if they are some."""
+        both = [(len(grams & own), len(own)) for f, _, own in self.templates if f == family]
+        return max([max(n / size, n / len(grams) if len(grams) >= LEAST_GRAMS else 0.0) for n, size in both] or [0.0])
+
+    def _calibrate(self, z: np.ndarray, y: np.ndarray, grams: list[set[str]]) -> None:
+        """A temperature of the least surprise on held-out samples; then the least probability at which 19 in 20 families that a template confirms are right, and that of no licence which 19 in 20 reach."""
 
         def softmax(t: float) -> np.ndarray:
             p = np.exp((z - z.max(axis=1, keepdims=True)) / t)
@@ -160,7 +172,7 @@ class Model:
         p = softmax(self.temperature)
         best, sure = p.argmax(axis=1), p.max(axis=1)
         right = y[np.arange(len(y)), best] > 0
-        named = ~np.isin(np.array(self.families)[best], (NONE, UNKNOWN))
+        named = np.array([self.overlap(g, self.families[b]) >= LEAST_OVERLAP for g, b in zip(grams, best, strict=True)])
         order = np.argsort(-sure[named], kind="stable")
         good = np.cumsum(right[named][order]) >= 0.95 * np.arange(1, named.sum() + 1)
         self.least = round(float(sure[named][order][np.flatnonzero(good)[-1]]), 6) if good.any() else 1.0
@@ -213,7 +225,7 @@ def paragraphs(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     return grams.filter(_may_win(model, F.col("grams"), model.gains))
 
 
-def scan(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None, least_overlap: float = 0.7, least_grams: int = 5) -> DataFrame:
+def scan(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
     """One row for each paragraph that is a licence or may be: id, paragraph, line, family (or unknown), the best class's probability, overlap."""
     spark, model = df.sparkSession, model or Model()
     weights = spark.createDataFrame([(g, f, float(w)) for f, own in model.weights.items() for g, w in own.items() if abs(w) > 1e-9], "gram string, family string, weight double")
@@ -229,10 +241,10 @@ def scan(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model
     by = Window.partitionBy("at")
     p = z.withColumn("p", F.exp(F.col("z") - F.max("z").over(by))).withColumn("p", F.col("p") / F.sum("p").over(by))
     best = p.groupBy("at").agg(F.min_by(F.struct("family", "p"), F.struct(-F.col("p"), F.col("family"))).alias("b")).select("at", F.col("b.family").alias("best"), F.col("b.p").alias("probability"))
-    share = F.greatest(F.col("both") / F.col("n_template"), F.when(F.col("n") >= least_grams, F.col("both") / F.col("n")).otherwise(0.0))
+    share = F.greatest(F.col("both") / F.col("n_template"), F.when(F.col("n") >= LEAST_GRAMS, F.col("both") / F.col("n")).otherwise(0.0))
     near = shared.join(head.select("at", "n"), "at").groupBy("at", F.col("family").alias("best")).agg(F.max(share).alias("overlap"))
     out = head.join(best, "at").join(near, ["at", "best"], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0.0)))
-    sure = ~F.col("best").isin(NONE, UNKNOWN) & (F.col("probability") >= model.least) & (F.col("overlap") >= least_overlap)
+    sure = ~F.col("best").isin(NONE, UNKNOWN) & (F.col("overlap") >= F.when(F.col("probability") >= model.least, LEAST_OVERLAP).otherwise(SURE_OVERLAP))
     judged = out.filter(~((F.col("best") == NONE) & (F.col("probability") >= model.least_none))).withColumn("family", F.when(sure, F.col("best")).otherwise(F.lit(UNKNOWN)))
     # A confirmed notice of several lines stands for them; one that isn't confirmed counts where no line does.
     around = Window.partitionBy("doc", "paragraph")
