@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 import textwrap
+import time
 import zlib
 from collections import Counter, defaultdict
 from random import Random
@@ -237,7 +239,7 @@ def test_toxicity_on_held_out_rows(spark):
     labels = common.table(spark, sf, "labels")
     out = toxicity.toxicity(common.table(spark, sf, "documents"), labels).join(labels, "doc_id").filter("held_out")
     n = {(r.toxic, r.predicted): r["count"] for r in out.groupBy("toxic", "predicted").count().collect()}
-    assert n.get((0, 1), 0) <= 0.005 * n[0, 0] and n[1, 1] >= 0.8 * (n[1, 1] + n.get((1, 0), 0))
+    assert n.get((0, 1), 0) <= 0.005 * n[0, 0] and n[1, 1] >= 0.9 * (n[1, 1] + n.get((1, 0), 0))
 
 
 def test_folding_and_exceptions():
@@ -247,6 +249,44 @@ def test_folding_and_exceptions():
     assert m.features(None) == (0, 0)
 
 
+def test_toxicity_query_is_the_plain_score(spark):
+    """The query against folding, matching and the curve written plainly, for every document."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = common.table(spark, sf, "documents"), common.table(spark, sf, "labels")
+    model = toxicity.learn(docs, labels)
+    table = toxicity.fold_table()
+    phrases = [" ".join(toxicity.fold(p, table).split()) for p in model.exceptions]
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    for row in docs.collect():
+        words = toxicity.fold(row.text or "", table).split()
+        text, total = f" {' '.join(words)} ", 0.0
+        inside = [False] * len(text)
+        for p in phrases:
+            for m in re.finditer(f"(?= {re.escape(p)})", text):
+                inside[m.start() : m.start() + len(p) + 1] = [True] * (len(p) + 1)
+        at = 0
+        for w in words:
+            total += sum(v for t, v in model.terms.items() if f"{w} ".startswith(t) and not inside[at + min(len(t), len(w))])
+            at += len(w) + 1
+        x = model.bias + model.total * math.log1p(max(total, 0.0)) + model.dense * total / math.sqrt(len(words) + 1)
+        score = 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+        r = got[row.doc_id]
+        assert abs(r.score - score) < 1e-9 and r.predicted == (r.score >= 0.7) and r.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1)
+
+
+def test_many_exceptions_take_linear_time():
+    m = toxicity.Matcher({"trash ": 2.0, "idiot": 1.0}, ("trash can", "can trash"))
+    began = time.perf_counter()
+    assert m.features("trash can foo " * 100_000)[0] == 0.0 and m.features("trash foo " * 100_000)[0] == 200_000.0
+    assert time.perf_counter() - began < 5
+    assert m.features("trash can trash x trash")[0] == 2.0 and m.features("idiots trash cans")[0] == 1.0
+
+
+def test_phrases_of_clean_texts_are_learned(spark):
+    rows = [("a clown fish swims", 0)] * 3 + [("you clown fool", 1), ("clown fish idiot", 0), ("idiot savant", 0), ("idiot savant", 0), ("idiot savant", 0), ("idiot savant", 1)]
+    assert toxicity.spared(spark.createDataFrame(rows, "text string, toxic int"), {"clown ": 1.0, "idiot": 1.0}) == ("a clown", "clown fish")
+
+
 def test_mixing_pours_water(spark):
     sizes = spark.createDataFrame([("sa", 100), ("sb", 10), ("sc", 1000), ("n", 0)], "_key string, source_size long")
     got = {r._key: r.target for r in mixing.targets(sizes).collect()}
@@ -269,6 +309,30 @@ def test_mixed_rows_hold_the_taken_words(spark):
     assert plan.join(rows, "doc_id", "left").filter("coalesce(n, 0) <> taken").count() == 0
 
 
+def test_mixed_rows_keep_white_space(spark):
+    text = " line one\n\nline\ttwo  end\n"
+    df = spark.createDataFrame([(i, text, s) for s in "abc" for i in range(40)], "doc_id long, text string, source string")
+    out = {r.text for r in mixing.mixed_rows(df).collect()}
+    assert text in out and all(text.startswith(x) for x in out) and len(out) <= 4
+
+
+@pytest.mark.parametrize("bin_rows", [1, 7, 4096])
+def test_mixing_takes_the_first_of_a_seeded_order(spark, bin_rows):
+    r = Random(3)
+    rows = [(i % 300, " ".join(["w"] * r.randrange(0, 30)), r.choice(["a", "a", "a", "b", None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df, bin_rows=bin_rows).collect()
+    assert len(got) == len(rows)
+    for own in {x.source_size for x in got}:
+        part = [x for x in got if x.source_size == own]
+        whole = int(part[0].target // own)
+        assert sum(x.taken for x in part) == int(part[0].target + 0.5)
+        order = sorted(part, key=lambda x: (hashlib.md5(f"0:{x.doc_id}".encode()).hexdigest(), str(x.doc_id), x.size))
+        extra = [x.taken - whole * x.size for x in order if x.size]
+        full = [e == x.size for e, x in zip(extra, (x for x in order if x.size), strict=True)]
+        assert sum(a != b for a, b in zip(full, full[1:], strict=False)) <= 1 and sum(0 < e for e, f in zip(extra, full, strict=True) if not f) <= 1
+
+
 def _varint(n):
     out = b""
     while n > 127:
@@ -303,6 +367,72 @@ def test_pieces_are_as_likely_as_the_librarys():
         assert mine == theirs or worth(mine) >= worth(theirs) - 1e-3
 
 
+def _unigram(tmp_path, normalizer, extra=()):
+    """The model file as a unigram model, with the scores that are used here; and the library's reader of it."""
+    model = sentencepiece.Model.load(MODEL)
+    pieces, proto = iter(model.pieces), b""
+    with open(MODEL, "rb") as f:
+        for number, value in sentencepiece._fields(f.read()):
+            if number == 1:
+                p, s, k = next(pieces)
+                value = _message([(1, p.encode()), (2, float(s)), (3, k)])
+            elif number == 2:
+                value = _message([(a, 1 if a == 3 else b) for a, b in sentencepiece._fields(value)])
+            elif number == 3:
+                value = _message([(1, b"identity"), *normalizer])
+            proto += _message([(number, value)])
+    for piece, kind in extra:
+        proto += _message([(1, _message([(1, piece.encode()), (2, 0.0), (3, kind)]))])
+    path = tmp_path / "unigram.model"
+    path.write_bytes(proto)
+    return str(path), None if any(n == 2 for n, _ in normalizer) else library.SentencePieceProcessor(model_proto=proto)
+
+
+def test_digest_of_a_table_is_the_librarys(spark, tmp_path):
+    """Every text of a table: the number of tokens and their hash, where the library's best segmentation is worth the same."""
+    path, lib = _unigram(tmp_path, [(3, 1), (4, 0), (5, 1)])
+    docs = common.table(spark, SF, "documents").select("doc_id", "text")
+    got = {r.doc_id: r for r in sentencepiece.digest(docs, path).collect()}
+    codec, same = sentencepiece.Codec(sentencepiece.Model.load(path)), 0
+    worth = lambda ids: sum(codec.scores[i] for i in ids)
+    for row in docs.collect():
+        text, r = row.text or "", got[row.doc_id]
+        theirs = lib.encode(text)
+        if r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(theirs)}i", *theirs)).hexdigest():
+            same += 1
+            assert r.n_tokens == len(theirs) and r.n_byte_tokens == sum(lib.is_byte(i) for i in theirs)
+        else:
+            assert abs(worth(codec.encode(text)) - worth(theirs)) < 1e-2
+        assert r.exact and r.n_bytes == len(text.encode())
+    assert same >= 0.9 * len(got)
+
+
+@pytest.mark.parametrize("normalizer", [[(3, 0), (4, 0)], [(3, 1), (4, 1)], [(3, 0), (4, 1)]])
+def test_normalizer_settings_are_followed(tmp_path, normalizer):
+    path, lib = _unigram(tmp_path, normalizer)
+    codec = sentencepiece.Codec(sentencepiece.Model.load(path))
+    for text in ["two  blanks here ", " lead", "", "   ", "plain text", "a\n b"]:
+        assert codec.encode(text) == lib.encode(text) and codec.decode(codec.encode(text)) == lib.decode(lib.encode(text))
+
+
+def test_a_character_map_is_refused_and_users_pieces_are_forced(tmp_path):
+    path, _ = _unigram(tmp_path, [(2, b"abc")])
+    with pytest.raises(ValueError):
+        sentencepiece.Model.load(path)
+    path, lib = _unigram(tmp_path, [(3, 1), (4, 0)], [("xqzt", sentencepiece.USER)])
+    codec = sentencepiece.Codec(sentencepiece.Model.load(path))
+    assert codec.encode("axqztb xqzt") == lib.encode("axqztb xqzt") and len(codec.scores) - 1 in codec.encode("axqztb")
+
+
+def test_long_unbroken_texts_stay_small(tmp_path):
+    codec = sentencepiece.Codec(_model())
+    text = "ab1" * 300_000
+    assert codec.decode(codec.encode(text)) == text and len(codec) == 0
+    for i in range(30_000):
+        codec.encode(f"w{i}" * 20)
+    assert codec.held <= sentencepiece.REMEMBERED
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(max_size=60))
 def test_decoding_gives_the_text_back(text):
@@ -336,6 +466,55 @@ def test_ogg_pages_and_faults():
             ogg.decode(bad)
 
 
+def test_ogg_query_is_an_independent_readers(spark):
+    """The query's columns against a reader that only follows the format: pages by their lacing, no streams of ours assumed but the header."""
+    docs = common.table(spark, SF, "documents").select("doc_id", "text")
+    media = {r.id: bytes(r.media) for r in ogg.store(docs).collect()}
+    got = {r.id: r for r in ogg.probe(ogg.store(docs)).collect()}
+    for row in docs.collect():
+        raw = (row.text or "").encode()
+        payload = raw + b"\xff" * ((-len(raw)) % 576 if raw else 576)
+        data, at, streams, pages = media[row.doc_id], 0, defaultdict(bytearray), 0
+        while at < len(data):
+            assert data[at : at + 4] == b"OggS"
+            serial, n = int.from_bytes(data[at + 14 : at + 18], "little"), data[at + 26]
+            size = sum(data[at + 27 : at + 27 + n])
+            if int.from_bytes(data[at + 18 : at + 22], "little") > 0:  # not the header's page
+                streams[serial] += data[at + 27 + n : at + 27 + n + size]
+            at, pages = at + 27 + n + size, pages + 1
+        assert bytes(max(streams.values(), key=len)) == payload or len(streams) == 2 and payload in map(bytes, streams.values())
+        r, samples = got[row.doc_id], np.frombuffer(payload, np.uint8)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert (r.media_bytes, r.media_sha256, r.error) == (len(data), hashlib.sha256(data).hexdigest(), None)
+        assert f"pages={pages};" in r.feature and f"last_ms={len(payload) * 1000 // ogg.RATE};peak={samples.max()};mean={samples.mean():.3f}" in r.feature
+
+
+def test_a_corrupt_media_row_is_told(spark):
+    good = ogg.encode(ogg.padded(b"hello"), 5)
+    rows = [(1, good), (2, good[:-3]), (3, b"junk"), (4, None), (5, good.replace(b"hello", b"hallo"))]
+    got = {r.id: r for r in ogg.probe(spark.createDataFrame(rows, "id long, media binary")).collect()}
+    assert got[1].error is None and got[1].n_bytes == 5 and all(got[i].error and got[i].feature is None for i in (2, 3, 4, 5))
+
+
+def test_attempts_of_writers_dont_meet(spark, tmp_path):
+    """What another attempt left behind isn't read; a file that was changed after raises; revisits are compared with their response."""
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"<p>{i % 7}</p>") for i in range(60)], "page_id long, url string, html string")
+    out = f"file://{tmp_path}/a"
+    manifest = warc.write_archives(pages, out, roll_bytes=2000)
+    first = manifest.collect()
+    (tmp_path / "a" / "pages-000000-99999-00000.warc.gz").write_bytes(b"left by a lost attempt")
+    rows = warc.checked(warc.read_archives(manifest, with_payload=False)).collect()
+    assert sorted(r.page_id for r in rows) == list(range(60)) and len(first) > 1
+    path = first[0].path.removeprefix("file://")
+    with open(path, "ab") as f:
+        f.write(warc.member(warc.record_bytes(99, None, b"x", None, True), 6))
+    with pytest.raises(Exception, match="manifest"):
+        warc.read_archives(manifest, with_payload=False).collect()
+    bad = [(1, 3, "A", "response", None, None, None), (2, 3, "B", "revisit", 1, None, None)]
+    with pytest.raises(ValueError, match="revisits"):
+        warc.checked(spark.createDataFrame(bad, warc.ROWS))
+
+
 def test_warc_members_and_faults(tmp_path):
     record = warc.record_bytes(7, "http://x", b"<p>hello</p>", None, True)
     data = warc.member(record, 6) + warc.member(warc.record_bytes(8, None, b"<p>hello</p>", 7, False), 6)

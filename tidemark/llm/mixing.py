@@ -8,9 +8,10 @@ maximum: the fixed point that pouring the excess back by weight ends at.
 
 A document is taken ``floor(target / source words)`` whole times, and a seeded order decides the fractional rest: the
 documents that come first (by md5 of seed and id) are taken once more until the rest is used up; the last of them in
-part.  So a source's taken words are its target, rounded.  The order is cut into bins by the hash's first digits: sums by
-bin are small and pre-aggregated, running sums stand within a bin, and a source that holds most rows is dealt over all
-bins; no task gets a source whole.
+part.  So a source's taken words are its target, rounded.  Rows are written once with their sizes and their place in that order.
+The order is cut into bins by the hash's first digits, as many as the number of rows asks for; sums by bin are pre-aggregated, and tell in which bin of a source the rest
+ends.  Only rows of that bin are put in order, to find the row it ends in; then a row is told by comparing its place with that one's.  No
+task gets a source whole, and texts aren't moved but by the join with one row a source.
 
 Defined cases: a null or blank text has size 0 and takes 0; a null source is a source of its own; a null id counts as the
 empty string in the hash; equal rows each count; an empty table gives no rows; sources without words get target 0.
@@ -18,11 +19,14 @@ empty string in the hash; equal rows each count; an empty table gives no rows; s
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD
+from tidemark.llm.common import WORD, settled
 
+SPACED = r"[\x20\x09-\x0D]*" + WORD
 WEIGHTS = (3, 1, 2)
 NAMES = ("size", "source_size", "target", "taken")
 
@@ -59,22 +63,33 @@ def targets(sizes: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: floa
     )
 
 
-def _planned(df: DataFrame, row: Column, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, max_epochs: int = 2, seed: int = 0, bin_digits: int = 3) -> DataFrame:
-    """_row, size, source_size, target, _whole and _extra: whole copies and words besides that are taken."""
+def _placed(df: DataFrame, row: Column, *, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """The rows as a written table with their source's key, place in the seeded order and number of words."""
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     order = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
-    rows = df.select(row.alias("_row"), name.alias("_id"), _source_key(F.col(source_col)).alias("_key"), order.alias("_order"), words(F.col(text_col)).alias("size"))
-    rows = rows.withColumn("_bin", F.substring("_order", 1, bin_digits))
-    bins = rows.groupBy("_key", "_bin").agg(F.sum("size").alias("_bin_size"))
+    rows = df.select(row.alias("_row"), _source_key(F.col(source_col)).alias("_key"), words(F.col(text_col)).alias("size"), F.struct(order.alias("order"), name.alias("id")).alias("_hash"))
+    rows = settled(rows.withColumn("_n", F.monotonically_increasing_id()))
+    return rows.select("_row", "_key", "size", F.struct("_hash.order", "_hash.id", "size", F.col("_n").alias("n")).alias("_place"))
+
+
+def _planned(df: DataFrame, row: Column, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, max_epochs: int = 2, seed: int = 0, bin_rows: int = 4096) -> DataFrame:
+    """_row, size, source_size, target, _whole and _extra: whole copies and words besides that are taken."""
+    rows = _placed(df, row, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed)
+    slim = rows.select("_key", "size", "_place")
+    digits = max(1, math.ceil(math.log(max(1, slim.count() / bin_rows), 16)))
+    binned = slim.withColumn("_bin", F.substring("_place.order", 1, digits))
+    bins = binned.groupBy("_key", "_bin").agg(F.sum("size").alias("_bin_size"))
     sizes = bins.groupBy("_key").agg(F.sum("_bin_size").alias("source_size"))
-    before_bin = Window.partitionBy("_key").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("_before_bin", F.coalesce(F.sum("_bin_size").over(before_bin), F.lit(0))).select("_key", "_bin", "_before_bin")
-    placed = bins.join(targets(sizes, weights=weights, share=share, max_epochs=max_epochs), "_key")
-    in_bin = Window.partitionBy("_key", "_bin").orderBy("_order", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_before_bin") + F.coalesce(F.sum("size").over(in_bin), F.lit(0))
-    out = rows.join(placed, ["_key", "_bin"]).withColumn("_before", before)
-    extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before"))).cast("long")
-    return out.select("_row", "size", "source_size", "target", "_whole", extra.alias("_extra"))
+    aims = settled(targets(sizes, weights=weights, share=share, max_epochs=max_epochs))
+    before_bin = F.coalesce(F.sum("_bin_size").over(Window.partitionBy("_key").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # The bin in which a source's rest ends, and then the row.
+    last_bin = bins.withColumn("_before_bin", before_bin).join(aims.select("_key", "_rest"), "_key").filter((F.col("_before_bin") < F.col("_rest")) & (F.col("_before_bin") + F.col("_bin_size") >= F.col("_rest")))
+    in_bin = Window.partitionBy("_key").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    running = binned.join(last_bin.select("_key", "_bin", "_before_bin", "_rest"), ["_key", "_bin"]).withColumn("_left", F.col("_rest") - F.col("_before_bin") - F.coalesce(F.sum("size").over(in_bin), F.lit(0)))
+    ends = running.filter((F.col("_left") > 0) & (F.col("_left") <= F.col("size"))).select("_key", F.col("_place").alias("_end"), F.col("_left").alias("_part"))
+    plan = settled(aims.join(ends, "_key", "left"))
+    extra = F.when(F.col("_end").isNull() | (F.col("_place") > F.col("_end")), 0).when(F.col("_place") < F.col("_end"), F.col("size")).otherwise(F.col("_part")).cast("long")
+    return rows.join(plan, "_key").select("_row", "size", "source_size", "target", "_whole", extra.alias("_extra"))
 
 
 def mix(df: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
@@ -84,11 +99,11 @@ def mix(df: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
 
 
 def mixed_rows(df: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
-    """The mix itself, with the input's columns: a row for each whole copy that is taken, and one cut to its first words for a part."""
+    """The mix itself, with the input's columns: a row for each whole copy that is taken, and one cut after its first words for a part, all as they stand in the text."""
     names = df.columns
     planned = _planned(df, F.struct(*(F.col(c) for c in names)), text_col=text_col, **options).withColumn("_text", F.col("_row")[text_col])
     whole = F.col("_whole") + F.when(F.col("_extra") == F.col("size"), 1).otherwise(0)
-    first_words = F.concat_ws(" ", F.slice(F.regexp_extract_all(F.col("_text"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_extra").cast("int")))
-    part = F.when((F.col("_extra") > 0) & (F.col("_extra") < F.col("size")), F.array(first_words)).otherwise(F.array().cast("array<string>"))
+    spaced = F.regexp_extract_all(F.col("_text"), F.lit(SPACED), F.lit(0))  # each word with what stands before it
+    part = F.when((F.col("_extra") > 0) & (F.col("_extra") < F.col("size")), F.array(F.array_join(F.slice(spaced, F.lit(1), F.col("_extra").cast("int")), ""))).otherwise(F.array().cast("array<string>"))
     copies = F.concat(F.array_repeat(F.col("_text"), F.when(F.col("size") > 0, whole).otherwise(0).cast("int")), part)
     return planned.select("_row", F.explode(copies).alias("_text")).select(*(F.col("_text").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names))

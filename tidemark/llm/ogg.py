@@ -6,7 +6,8 @@ by lacing values and run on over page ends; a page's granule position is the num
 end by it, or -1 if none ends on it.
 
 The reader walks the pages, verifies each one's checksum and number, deals them out by serial number, joins the packets
-by their lacing values and derives timestamps from the granule positions.  Anything amiss raises.
+by their lacing values and derives timestamps from the granule positions.  ``decode`` raises on anything amiss; ``probe`` gives such a
+file a row without figures whose ``error`` says what is wrong, and goes on.
 
 The page checksum is an unreflected CRC-32 of zero start; it equals the bit-reversed reflected CRC-32 of bit-reversed
 bytes, so ``zlib.crc32`` and a translation table compute it.
@@ -141,25 +142,28 @@ def store(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("raw")).mapInArrow(run, "id long, media binary")
 
 
-PROBED = "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+PROBED = "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
 
 
 def probe(stored: DataFrame) -> DataFrame:
-    """Read a media column back: payload figures and a line of features for each file."""
-    names = [x.split()[0] for x in PROBED.split(", ")]
-
-    def row(media: bytes) -> tuple:
-        got = decode(media)
+    """Read a media column back: payload figures and a line of features for each file, or what is wrong with it."""
+    fields = [x.split() for x in PROBED.split(", ")]
+    kinds = {"long": pa.int64(), "string": pa.string()}
+
+    def row(media: bytes | None) -> tuple:
+        try:
+            got = decode(media or b"")
+        except (ValueError, KeyError, IndexError, StopIteration, struct.error) as e:
+            return None, None, None, None, len(media or b""), None, None, f"{type(e).__name__}: {e}"[:200]
         payload = got["payload"]
         samples = np.frombuffer(payload, np.uint8)
         peak, mean = int(samples.max()), int(samples.sum(dtype=np.int64)) / len(samples)
         feature = f"ogg;u8;rate={RATE};streams={got['streams']};pages={got['pages']};packets={got['packets']};first_ms={got['first_ms']};last_ms={got['last_ms']};peak={peak};mean={mean:.3f}"
-        return got["n_bytes"], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature
+        return got["n_bytes"], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             rows = [row(x) for x in batch.column("media").to_pylist()]
-            columns = [batch.column("id"), *(pa.array([r[i] for r in rows], pa.string() if names[i + 1] in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for i in range(7))]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields[1:]))], names=[n for n, _ in fields])
 
     return stored.mapInArrow(run, PROBED)

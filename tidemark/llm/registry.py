@@ -12,7 +12,7 @@ from tidemark.llm import ann, common, licences, mixing, neardup, ogg, sentencepi
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(common.table(spark, sf_dir, "pages"), common.scratch(spark, "warc"))
-    return warc.read_archives(manifest, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.checked(warc.read_archives(manifest, with_payload=False)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,11 +7,11 @@ of log scores; they become the log probabilities of a Zipf law over the ranks.
 Encoding puts the white-space marker U+2581 before the text and in place of each space and takes the segmentation of the
 highest summed score.  A character that no piece covers counts as unknown, ten below the lowest score, and turns
 into byte pieces.  No piece has a marker after another character, nor a line feed beside anything, which is verified when
-the model is read; so the best segmentation of a text is made of those of its chunks, and chunks are remembered by
-worker (a bounded number of them).
+the model is read; so the best segmentation of a text is made of those of its chunks, and short chunks are remembered by
+worker (up to a number of bytes).  The model's settings for the marker before a text and for extra spaces are followed; a model with a character map is refused.
 
 Decoding joins the pieces, turns byte pieces into bytes, markers into spaces and drops the first one.  A U+2581 of
-the text itself is encoded as bytes, so decoding gives back every text exactly.
+the text itself is encoded as bytes, so decoding gives back every text exactly (but for spaces that the model has dropped).
 
 Defined cases: null and empty texts give no ids and decode to the empty text; repeated rows are each encoded; texts of
 any length are encoded whole; other columns are kept or ignored as asked; an empty table gives no rows.
@@ -38,7 +38,7 @@ from tidemark.llm import common
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # Fixed values: the kinds of pieces in a model file.
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 400_000
+REMEMBERED, ENTRY, LONGEST = 128 << 20, 250, 200  # bytes of remembered chunks in a worker, of one beside its content, and characters of the longest
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -71,21 +71,30 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             at += size
 
 
-def read_pieces(path: str) -> list[tuple[str, float, int]]:
-    """(piece, log score, kind) by id, from a model file on the driver."""
+def read_pieces(path: str) -> tuple[list[tuple[str, float, int]], bool, bool]:
+    """(piece, log score, kind) by id, whether texts get a marker before them, and whether extra spaces go, from a model file on the driver.
+
+    A character map, or white space that isn't escaped, is refused: its texts would be encoded wrongly.
+    """
     with open(path, "rb") as f:
         data = f.read()
-    pieces, unigram = [], True
+    pieces, unigram, normalizer = [], True, {}
     for number, value in _fields(data):
         if number == 1:
             own = dict(_fields(value))
             pieces.append((own.get(1, b"").decode(), own.get(2, 0.0), own.get(3, NORMAL)))
         elif number == 2:
             unigram = dict(_fields(value)).get(3, 1) == 1
+        elif number == 3:
+            normalizer = dict(_fields(value))
+    # The numbers and defaults of the normalizer's fields.
+    charsmap, prefix, shorten, escape = (normalizer.get(n, d) for n, d in ((2, b""), (3, 1), (4, 1), (5, 1)))
+    if charsmap or not escape:
+        raise ValueError("the model normalizes characters, which isn't supported")
     if unigram:
-        return pieces
+        return pieces, bool(prefix), bool(shorten)
     total = math.log(sum(1 / (2.7 - s) for _, s, k in pieces if k == NORMAL))
-    return [(p, -math.log(2.7 - s) - total if k == NORMAL else s, k) for p, s, k in pieces]
+    return [(p, -math.log(2.7 - s) - total if k == NORMAL else s, k) for p, s, k in pieces], bool(prefix), bool(shorten)
 
 
 @dataclass
@@ -145,16 +154,18 @@ class Model:
     pieces: list[tuple[str, float, int]]
     trie: Trie
     digest: str
+    prefix: bool = True
+    shorten: bool = False
 
     @classmethod
     def load(cls, path: str) -> Model:
-        pieces = read_pieces(path)
+        pieces, prefix, shorten = read_pieces(path)
         words = {p.encode(): i for i, (p, _, k) in enumerate(pieces) if k in (NORMAL, USER)}
         if any(MARK in p.lstrip(MARK) or ("\n" in p and len(p) > 1) for p, _, k in pieces if k in (NORMAL, USER)):
             raise ValueError("a piece reaches over a word's end")
         if sum(k == BYTE for *_, k in pieces) != 256:
             raise ValueError("the model has no byte pieces")
-        return cls(pieces, Trie.of(words), hashlib.sha256(repr(pieces).encode()).hexdigest())
+        return cls(pieces, Trie.of(words), hashlib.sha256(repr((pieces, prefix, shorten)).encode()).hexdigest(), prefix, shorten)
 
 
 class Codec(dict):
@@ -164,8 +175,11 @@ class Codec(dict):
 
     def __init__(self, model: Model):
         super().__init__()
+        self.prefix, self.shorten, self.held = model.prefix, model.shorten, 0
         self.base, self.check, self.value = list(model.trie.base), list(model.trie.check), list(model.trie.value)
-        self.scores = [s for _, s, _ in model.pieces]
+        # A piece of the user's is worth more than any pieces of its length, so it is always taken.
+        most = max(s for _, s, k in model.pieces if k == NORMAL)
+        self.scores = [len(p.encode()) * most - 0.1 if k == USER else s for p, s, k in model.pieces]
         self.unknown = min(s for _, s, k in model.pieces if k == NORMAL) - UNKNOWN_PENALTY
         self.byte_id = [0] * 256
         self.as_bytes = []
@@ -177,18 +191,22 @@ class Codec(dict):
                 self.as_bytes.append(b"" if k == CONTROL else p.replace(MARK, " ").encode())
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[chunk] = ids = tuple(self.viterbi(chunk.encode()))
+        ids = tuple(self.viterbi(chunk.encode()))
+        if len(chunk) <= LONGEST:
+            self.held += ENTRY + 4 * len(chunk) + 8 * len(ids)
+            if self.held > REMEMBERED:
+                self.clear()
+                self.held = 0
+            self[chunk] = ids
         return ids
 
     def viterbi(self, data: bytes) -> list[int]:
         """Ids of the best segmentation of a chunk; of equal scores the one with the longer last piece."""
         base, check, value, scores = self.base, self.check, self.value, self.scores
         size = len(data)
-        best = [-math.inf] * (size + 1)
+        best = [-math.inf] * (size + 1) if size <= LONGEST * 4 else array("d", [-math.inf]) * (size + 1)
         best[0] = 0.0
-        back: list[tuple[int, int]] = [(0, -1)] * (size + 1)
+        begin, piece = ([0] * (size + 1), [-1] * (size + 1)) if size <= LONGEST * 4 else (array("i", [0]) * (size + 1), array("i", [-1]) * (size + 1))
         for start in range(size):
             so_far = best[start]
             if so_far == -math.inf:
@@ -206,23 +224,25 @@ class Codec(dict):
                     if end - start == width:
                         single = True
                     if (score := so_far + scores[number]) > best[end]:
-                        best[end], back[end] = score, (start, number)
+                        best[end], begin[end], piece[end] = score, start, number
                 if not base[node]:
                     break
             if not single and (score := so_far + self.unknown) > best[start + width]:
-                best[start + width], back[start + width] = score, (start, -1)
+                best[start + width], begin[start + width], piece[start + width] = score, start, -1
         ids, end = [], size
         while end:
-            start, number = back[end]
+            start, number = begin[end], piece[end]
             ids.extend((number,) if number >= 0 else [self.byte_id[b] for b in reversed(data[start:end])])
             end = start
         return ids[::-1]
 
     def encode(self, text: str | None) -> list[int]:
+        if text and self.shorten:
+            text = re.sub(" +", " ", text).strip(" ")
         if not text:
             return []
         first, *rest = text.split(MARK)
-        ids = list(chain.from_iterable(map(self.__getitem__, self.CHUNK.findall(MARK + first.replace(" ", MARK)))))
+        ids = list(chain.from_iterable(map(self.__getitem__, self.CHUNK.findall(MARK * self.prefix + first.replace(" ", MARK)))))
         for part in rest:  # a marker of the text's own
             ids += [self.byte_id[b] for b in MARK.encode()]
             ids += chain.from_iterable(map(self.__getitem__, self.CHUNK.findall(part.replace(" ", MARK))))
@@ -230,7 +250,7 @@ class Codec(dict):
 
     def decode(self, ids: list[int] | None) -> str:
         data = b"".join(map(self.as_bytes.__getitem__, ids or ()))
-        return data.removeprefix(b" ").decode("utf-8", "replace")
+        return (data.removeprefix(b" ") if self.prefix else data).decode("utf-8", "replace")
 
 
 _held: dict[str, Codec] = {}

@@ -1,13 +1,13 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick over folded text.
 
 Folding lower-cases, maps look-alike letters of other scripts and digits used as letters to plain letters, drops
-zero-width characters and turns everything else that is no letter into a blank.  The lexicon holds beginnings of words;
-its weights are lower confidence bounds of log odds between toxic and clean labelled documents.  A hit inside an
-exception phrase doesn't count.  Summed weights and the same divided by the square root of the number of words go
+zero-width characters and turns everything else that is no letter into a blank.  The lexicon holds words and beginnings of words;
+its weights are lower confidence bounds of the log ratio of how often toxic and clean labelled documents use them.  A hit inside an
+exception phrase doesn't count: such phrases are named, or learned as those that only clean labelled texts use.  Summed weights and the same divided by the square root of the number of words go
 into a logistic curve that is fitted to the labels as well.
 
 Learning reads at most ``max_rows`` labelled documents (those with the smallest hashes of their ids), so the sample, the
-lexicon (``max_terms``) and what is broadcast are bounded at any size; scoring reads every whole text, with no shuffle.
+lexicon out of it and what is broadcast are bounded at any size; scoring reads every whole text, with no shuffle.
 
 Defined cases: null and empty texts score as texts without hits; a null id is held out as the empty string would be;
 null labels are skipped and of several labels of one document the largest counts; repeated rows are scored each; with
@@ -84,17 +84,23 @@ class Matcher:
 
     def features(self, text: str | None) -> tuple[float, int]:
         """(summed weights of hits outside exception phrases, number of words)."""
-        folded = " " + " ".join(fold(text or "", self.table).split())
-        n = folded.count(" ") if len(folded) > 1 else 0
+        words = fold(text or "", self.table).split()
         hits, spared = [], []
-        for end, (size, weight) in () if self.empty else self.automaton.iter(folded):
+        for end, (size, weight) in () if self.empty else self.automaton.iter(f" {' '.join(words)} "):
             if weight is None:
-                spared.append((end - size, end))
+                if spared and end - size <= spared[-1][1]:  # ends come in order
+                    spared[-1] = (min(spared[-1][0], end - size), end)
+                else:
+                    spared.append((end - size, end))
             else:
                 hits.append((end, weight))
-        if spared:
-            hits = [h for h in hits if not any(a <= h[0] <= b for a, b in spared)]
-        return sum(w for _, w in hits), n
+        total, at = 0.0, 0
+        for end, weight in hits:  # and so do hits
+            while at < len(spared) and spared[at][1] < end - 1:  # a term may end with the blank after its word
+                at += 1
+            if at == len(spared) or end < spared[at][0]:
+                total += weight
+        return total, len(words)
 
 
 def _x(total: float, n: int) -> tuple[float, float]:
@@ -105,25 +111,29 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def _prefixes(texts: list[str], only: set[str] | None) -> Counter:
-    """In how many texts each beginning of a word occurs."""
-    table, found = fold_table(), Counter()
-    for text in texts:
-        own = set()
-        for word in set(fold(text or "", table).split()):
-            own.update(word[:k] for k in LENGTHS if k <= len(word))
-        found.update(own if only is None else own & only)
-    return found
+def _terms(word: str) -> set[str]:
+    """A word's beginnings, and the whole word (with a blank after it)."""
+    return {word[:k] for k in LENGTHS if k <= len(word)} | {word + " "}
 
 
 def _counts(sample: DataFrame, only: set[str] | None) -> DataFrame:
+    """(term, n, times): in how many of the texts each term occurs, and how often in all; the empty term counts all words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Counter()
+        table, found, times = fold_table(), Counter(), Counter()
         for batch in batches:
-            found.update(_prefixes(batch.column("text").to_pylist(), only))
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["term", "n"])
+            for text in batch.column("text").to_pylist():
+                own = Counter()
+                for word, n in Counter(fold(text or "", table).split()).items():
+                    own[""] += n
+                    for term in _terms(word):
+                        if only is None or term in only:
+                            own[term] += n
+                found.update(own.keys())
+                times.update(own)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64()), pa.array([times[t] for t in found], pa.int64())], names=["term", "n", "times"])
 
-    return sample.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return sample.select("text").mapInArrow(run, "term string, n long, times long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
 
 
 def _signatures(sample: DataFrame, size: int = 16) -> DataFrame:
@@ -161,19 +171,20 @@ def _surprise(a: int, b: int, base: float) -> float:
     return (a + b) * (p * math.log(p / base) + ((1 - p) * math.log((1 - p) / (1 - base)) if b else 0.0))
 
 
-def lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, *, least_weight: float, max_terms: int) -> dict[str, float]:
-    """Beginnings of words whose log odds are surely high, none of which begins another.
+def lexicon(toxic: dict[str, tuple[int, int]], clean: dict[str, tuple[int, int]], n_toxic: int, n_clean: int, *, least_weight: float) -> dict[str, float]:
+    """Words and beginnings of words that toxic texts surely use more often, none of which begins another.
 
-    A term must be more surprising than the best of that many candidates would be by chance.  Of nested terms the
-    longest one stays that is about as frequent as the best.
+    A term's weight is the logarithm of its rates' ratio, less a margin for the number of documents that tell it.  A term must be more
+    surprising than the best of that many candidates would be by chance.  Of nested terms the longest one stays that is about as frequent as the best.
     """
     scored: dict[str, tuple[float, int]] = {}
     base, needed = n_toxic / max(1, n_toxic + n_clean), math.log(10 * max(1, len(toxic)))
-    for term, a in toxic.items():
-        b = clean.get(term, 0)
-        odds = math.log((a + 0.5) / (n_toxic + 1) * (n_clean + 1) / (b + 0.5))
-        weight = odds - 1.64 * math.sqrt(1 / (a + 0.5) + (1 / (b + 0.5) if b else 1))
-        if weight >= least_weight and _surprise(a, b, base) >= needed:
+    words, others = (max(1, x.get("", (0, 0))[1]) for x in (toxic, clean))
+    for term, (a, times) in toxic.items():
+        b, elsewhere = clean.get(term, (0, 0))
+        ratio = math.log((times + 0.5) / words * others / (elsewhere + 0.5))
+        weight = ratio - 1.64 * math.sqrt(1 / (a + 0.5) + (1 / (b + 0.5) if b else 1))
+        if term and weight >= least_weight and _surprise(a, b, base) >= needed:
             scored[term] = (weight, a)
     kept: dict[str, float] = {}
     barred: set[str] = set()
@@ -183,7 +194,23 @@ def lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
         best = max((t for t in scored if t.startswith(term) and scored[t][1] >= 0.95 * scored[term][1]), key=lambda t: (len(t), scored[t]))
         kept[best] = scored[best][0]
         barred.update(best[:k] for k in range(1, len(best) + 1))
-    return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:max_terms])
+    return dict(sorted(kept.items()))
+
+
+def spared(sample: DataFrame, terms: dict[str, float], *, least: int = 3) -> tuple[str, ...]:
+    """Two-word phrases with a term in them that ``least`` clean texts of the sample use and no toxic one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, found = fold_table(), [Counter(), Counter()]
+        for batch in batches:
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                words = fold(text or "", table).split()
+                hit = [any(t in terms for t in _terms(w)) for w in words]
+                found[toxic].update({f"{a} {b}" for a, b, x, y in zip(words, words[1:], hit, hit[1:], strict=False) if x or y})
+        yield pa.RecordBatch.from_arrays([pa.array([p for own in found for p in own], pa.string()), pa.array([n for own in found for n in own.values()], pa.int64()), pa.array([i for i, own in enumerate(found) for _ in own], pa.int32())], names=["phrase", "n", "toxic"])
+
+    told = sample.select("text", "toxic").mapInArrow(run, "phrase string, n long, toxic int").groupBy("phrase").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
+    return tuple(sorted(r["phrase"] for r in told.filter((F.col("clean") >= least) & (F.col("toxic") == 0)).select("phrase").collect()))
 
 
 def _fit(rows: list[tuple[float, float, int]], ridge: float = 0.05) -> np.ndarray:
@@ -200,7 +227,7 @@ def _fit(rows: list[tuple[float, float, int]], ridge: float = 0.05) -> np.ndarra
     return w
 
 
-def learn(documents: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, least_weight: float = 1.3, min_documents: int = 3, max_terms: int = 5_000, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
+def learn(documents: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, least_weight: float = 1.3, min_documents: int = 3, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
     """Lexicon and curve from labelled documents that aren't held out."""
     spark = documents.sparkSession
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -209,17 +236,21 @@ def learn(documents: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, le
         rate = (sum(r["toxic"] > 0 for r in chosen) + 0.5) / (len(chosen) + 1)
         return Model({}, exceptions, math.log(rate / (1 - rate)), 0.0, 0.0)
     chosen_df = spark.createDataFrame([(r["doc_id"], int(r["toxic"] > 0)) for r in chosen], "doc_id long, toxic int")
-    drawn = common.settled(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen_df), "doc_id").select(F.monotonically_increasing_id().alias("at"), "text", "toxic"))
+    labelled = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen_df), "doc_id")
+    # Of rows that repeat an id one is learned from, so there are at most max_rows.
+    single = labelled.groupBy("doc_id").agg(F.min_by(F.struct("text", "toxic"), F.xxhash64("text")).alias("one"))
+    drawn = common.settled(single.select(F.col("doc_id").alias("at"), "one.text", "one.toxic"))
     # Copies of one document are one piece of evidence.  max_rows bounds what comes to the driver.
     seen = _signatures(drawn).collect()
     stays = _distinct(np.array([r["signature"] for r in seen], dtype=np.int64).reshape(len(seen), -1)) if seen else []
     apart = spark.createDataFrame([(r["at"],) for r, ok in zip(seen, stays, strict=True) if ok], "at long")
     sample = drawn.join(F.broadcast(apart), "at")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    counted = _counts(sample.filter("toxic = 1"), None).filter(F.col("n") >= min_documents).orderBy(F.desc("n"), "term").limit(20 * max_terms).collect()
-    toxic = {r["term"]: r["n"] for r in counted}
-    clean = {r["term"]: r["n"] for r in _counts(sample.filter("toxic = 0"), set(toxic)).collect()}
-    terms = lexicon(toxic, clean, sizes.get(1, 0), sizes.get(0, 0), least_weight=least_weight, max_terms=max_terms)
+    counted = _counts(sample.filter("toxic = 1"), None).filter(F.col("n") >= min_documents).collect()
+    toxic = {r["term"]: (r["n"], r["times"]) for r in counted}
+    clean = {r["term"]: (r["n"], r["times"]) for r in _counts(sample.filter("toxic = 0"), set(toxic)).collect()}
+    terms = lexicon(toxic, clean, sizes.get(1, 0), sizes.get(0, 0), least_weight=least_weight)
+    exceptions = (*exceptions, *(p for p in spared(sample, terms) if p not in exceptions))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(terms, exceptions)

@@ -3,12 +3,14 @@
 Writing.  Records of equal payload are found by SHA-1 and length; the one with the largest id is stored as
 ``response``, the others as ``revisit`` records that refer to it and store no payload.  Only digests are grouped;
 the join that brings the group's original back to the pages is a sort-merge join on the digest whose hot partitions
-adaptive execution may split.  Each task writes its rows to files of its own in a shared folder under a temporary
-name and renames them when whole; a task that runs again writes the same files again.
+adaptive execution may split.  Each attempt of a task writes its rows to files of its own in a shared folder, under a temporary
+name, and renames them when whole.  The manifest names the files of the attempts that count, with their records and bytes; what another
+attempt left behind is never read, and a file that isn't what the manifest says raises.
 
 Reading.  A reader task streams a file in small chunks: one ``zlib`` object a member, WARC headers up to the blank
 line, then exactly Content-Length bytes, then the closing CRLF CRLF; the block digest and the payload digest are
-computed while the bytes pass and a mismatch raises.  One record's payload is the most that is held.
+computed while the bytes pass and a mismatch raises.  One record's payload is the most that is held.  ``checked`` compares what revisits
+say of their payload with the response they refer to.
 
 Defined cases: a null payload counts as empty; a null id is kept (its record is a revisit if an equal payload has an
 id, else a response); rows repeated with the largest id are all responses; a null URL leaves the header out; an empty
@@ -76,7 +78,7 @@ def _writer(out_dir: str, level: int, roll_bytes: int):
             nonlocal out
             out.close()
             out = None
-            final = f"{root}/pages-{task.partitionId():06d}-{len(done):05d}.warc.gz"
+            final = f"{root}/pages-{task.partitionId():06d}-{task.taskAttemptId()}-{len(done):05d}.warc.gz"
             fs.move(temp, final)
             done.append((f"{out_dir}/{final.rsplit('/', 1)[1]}", n, size))
 
@@ -212,15 +214,21 @@ def _reader(with_payload: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, told, size in zip(*(batch.column(c).to_pylist() for c in ("path", "records", "bytes")), strict=True):
                 fs, at = common.open_fs(path)
+                if fs.get_file_info(at).size != size:
+                    raise ValueError(f"{path} isn't as long as the manifest says")
+                n = 0
                 with fs.open_input_stream(at, compression=None) as source:
                     for r in records(source, with_payload):
+                        n += 1
                         rows.append(r)
                         held += len(r[6] or b"")
                         if len(rows) >= 2000 or held >= 8 << 20:
                             yield batch_of(rows)
                             rows, held = [], 0
+                if n != told:
+                    raise ValueError(f"{path} doesn't hold the records that the manifest says")
         yield batch_of(rows)
 
     return read
@@ -229,5 +237,17 @@ def _reader(with_payload: bool):
 def read_archives(manifest: DataFrame, *, with_payload: bool = True) -> DataFrame:
     """The records of the manifest's archives; a file is read by one task."""
     # The manifest is a written table of one row a file.  With a number of partitions given they aren't merged.
-    spread = manifest.select("path").repartition(max(1, manifest.count()))
+    spread = manifest.repartition(max(1, manifest.count()))
     return spread.mapInArrow(_reader(with_payload), ROWS)
+
+
+def checked(found: DataFrame) -> DataFrame:
+    """The records, settled, after each revisit's digest and length were compared with its response's; a revisit that differs or refers to none raises."""
+    found = common.settled(found)
+    response = F.col("record_type") == "response"
+    groups = found.filter(~response | F.col("page_id").isNotNull()).groupBy(F.when(response, F.col("page_id")).otherwise(F.col("refers_to")).alias("of"))
+    told = groups.agg(F.count_if(response).alias("responses"), F.count_if(~response).alias("revisits"), *(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("payload_digest", "payload_bytes")))
+    differs = (F.col("min_payload_digest") != F.col("max_payload_digest")) | (F.col("min_payload_bytes") != F.col("max_payload_bytes"))
+    if bad := told.filter((F.col("revisits") > 0) & (F.col("of").isNull() | (F.col("responses") == 0) | differs)).select("of").limit(3).collect():
+        raise ValueError(f"revisits differ from their response: {[r['of'] for r in bad]}")
+    return found
