@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common, mixing, neardup, sentencepiece, suffix, toxicity
 
+#: The model of the last stage; another one is named by the setting ``spark.tidemark.model``.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -39,7 +40,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = [c for c in ("doc_id", "lang", "source", "n_chars") if c in docs.columns]
-    return sentencepiece.encode(docs, MODEL_PATH, keep=kept, ids_col="ids").withColumn("n_tokens", F.size("ids").cast("long"))
+    return sentencepiece.encode(docs, spark.conf.get("spark.tidemark.model", MODEL_PATH), keep=kept, ids_col="ids").withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
@@ -56,9 +57,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = common.scratch(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with common.released():  # what a stage has set down for itself goes when it is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            common.remove(before)
+        docs, before = spark.read.parquet(path), path
     return docs
