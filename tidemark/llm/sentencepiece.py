@@ -177,8 +177,8 @@ class Codec(dict):
         super().__init__()
         self.prefix, self.shorten, self.held = model.prefix, model.shorten, 0
         self.base, self.check, self.value = list(model.trie.base), list(model.trie.check), list(model.trie.value)
-        # A piece of the user's is worth more than any pieces of its length, so it is always taken.
-        most = max(s for _, s, k in model.pieces if k == NORMAL)
+        # A piece of the user's costs next to nothing, so it is taken wherever it stands.
+        most = max([0.0, *(s for _, s, k in model.pieces if k == NORMAL)])
         self.scores = [len(p.encode()) * most - 0.1 if k == USER else s for p, s, k in model.pieces]
         self.unknown = min(s for _, s, k in model.pieces if k == NORMAL) - UNKNOWN_PENALTY
         self.byte_id = [0] * 256
