@@ -106,3 +106,16 @@ def test_unknown_metrics_and_frames_raise(spark):
         C.buckets(t, "1m", ["median"])
     with pytest.raises(ValueError):
         frame("7m")
+
+
+def test_merging_settles_ties_by_sequence(spark):
+    """Three trades of one time, and slices that part them: the bar opens with the first sequence and closes with the last, in either order."""
+    at = datetime(2026, 1, 1)
+    rows = [("x", "A", at, q, Decimal(p), Decimal(1)) for q, p in ((1, 10), (2, 20), (3, 30))]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, ts timestamp_ntz, seq long, price decimal(18,8), quantity decimal(18,8)")
+    one, two = C.candles(df.filter("seq <> 2"), "1m"), C.candles(df.filter("seq = 2"), "1m")
+    for a, b in ((one, two), (two, one)):
+        r = C.roll_up(C.merge_additive(a, b), "1h").first()
+        assert (int(r.open), int(r.close), r.open_seq, r.close_seq) == (10, 30, 1, 3)
+    big = C.candles(df.withColumn("seq", F.col("seq") + F.lit((1 << 63) - 10)), "1m").first()
+    assert (int(big.open), int(big.close)) == (10, 30)

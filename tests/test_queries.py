@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import joins as J
 from tidemark.operators import quality as Q
 from tidemark.operators import queries as P
+from tidemark.operators.candles import candles
 from tidemark.plans.control import Breaker, Degradation, Open, shed
 from tidemark.plans.engine import Engine
 
@@ -65,6 +66,124 @@ def test_replay_by_cursor_gives_every_row_once(spark, trades):
             break
     assert got == list(range(60))
     assert [len(r) for r, _ in engine.replay(batch=25)] == [25, 25, 10]
+    told = engine.place(next(engine.replay(batch=15))[1])
+    assert (told["total"], told["batch"], told["sent"], told["progress"]) == (60, 1, 15, 25.0)
+    with pytest.raises(ValueError):
+        engine.place("nonsense")
+
+
+def test_failing_queries_open_the_breaker(spark, trades):
+    engine = Engine(spark, trades)
+    engine.breaker = Breaker(failures=2)
+    bad = trades.select(F.raise_error(F.lit("no")).alias("x"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="no"):
+            engine.fetch(bad)
+    with pytest.raises(Open):
+        engine.fetch(trades)
+    engine.breaker = Breaker()
+    assert len(engine.fetch(trades.limit(3))) == 3
+
+
+def test_summary_reads_stored_bars_first(spark, trades):
+    stored = Engine(spark, trades.limit(0), bars={"1d": candles(trades, "1d")})
+    plain = Engine(spark, trades)
+    row = lambda e, **k: [str(x) for x in e.summary("BTC", "2026-01-21", **k).select("open", "high", "low", "close", "volume", "trade_count").first()]
+    assert row(stored) == row(plain)
+    assert Engine(spark, trades, bars={"1d": candles(trades.limit(0), "1d")}).summary("BTC", "2026-01-21").count() == 1
+    assert stored.status(F.lit(BASE).cast("timestamp_ntz"), {"1d": 1500})["overall"] in ("healthy", "stale")
+
+
+def test_not_in_knows_nulls(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    right = lambda *v: spark.createDataFrame([(x,) for x in v], "b int")
+    values = lambda r: sorted((x.a is not None, x.a or 0) for x in P.not_in(left, "a", r, "b").collect())
+    assert values(right(1)) == [(True, 2)] and values(right(1, None)) == [] and len(values(right())) == 3
+
+
+@pytest.mark.parametrize("block", [3, 7, 1 << 16])
+def test_blocks_of_sequences_are_the_whole(spark, block):
+    from random import Random
+
+    r = Random(block)
+    numbers = [r.choice([i, i, i + r.randrange(30), max(1, i // 3), i - 2]) for i in range(1, 120)]
+    df = spark.createDataFrame([("x", "A", BASE + timedelta(seconds=i), i, q) for i, q in enumerate(numbers)], "exchange string, symbol string, ts timestamp_ntz, at long, q long")
+    last = high = None
+    want = []
+    for q in numbers:
+        if last is not None and q < last * 0.5:
+            want.append(("RESET", 0))
+            high = q
+        elif high is None:
+            want.append(("FIRST", 0))
+            high = q
+        elif q <= high:
+            want.append(("OUT_OF_ORDER", 0))
+        else:
+            gap = q - high - 1
+            want.append(("OK" if gap == 0 else "SMALL_GAP" if gap <= 10 else "LARGE_GAP", gap))
+            high = q
+        last = q
+    got = Q.sequence_events(df, seq="q", order=["ts", "at"], block=block).orderBy("at").collect()
+    assert [(x.event, x.gap) for x in got] == want
+    prices = df.withColumnsRenamed({"q": "price", "at": "seq"})
+    jumps = {x.seq for x in Q.jumps(prices, 0.5, block=block).collect()}
+    assert jumps == {i for i in range(1, len(numbers)) if numbers[i - 1] and abs(numbers[i] - numbers[i - 1]) / numbers[i - 1] > 0.5}
+    missing = {x for g in Q.gaps(df, "q", width=block).collect() for x in range(g.gap_start, g.gap_end + 1)}
+    assert missing == set(range(min(numbers), max(numbers))) - set(numbers)
+
+
+def test_command_line(spark, tmp_path):
+    import io
+
+    from tidemark.plans import cli
+    from tidemark.sources.schemas import TABLES
+    from tidemark.sources.store import Store
+
+    root = f"file://{tmp_path}"
+    spec = TABLES["trades"]
+    rows = spark.range(30).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema if f.name not in ("message_id", "symbol", "exchange", "timestamp", "price", "quantity", "source_sequence", "trade_date")), F.col("id").cast("string").alias("message_id"), F.lit("BTC").alias("symbol"), F.lit("x").alias("exchange"), (F.lit(1_767_225_600_000_000) + F.col("id") * 1_000_000).alias("timestamp"), F.lit(1).alias("price"), F.lit(2).alias("quantity"), F.col("id").alias("source_sequence"), F.lit("2026-01-01").cast("date").alias("trade_date"))
+    Store(spark, f"{root}/trades", spec).append(rows)
+
+    def run(*arguments):
+        out = io.StringIO()
+        return cli.run(spark, ["--root", root, *arguments], out), out.getvalue().splitlines()
+
+    assert len(run("trades", "--limit", "5")[1]) == 6 and "29" in run("trades", "--limit", "1")[1][1]
+    assert run("--format", "json", "trades", "--symbol", "ETH")[1] == []
+    assert run("--format", "csv", "symbols")[1] == ["symbol", "BTC"] and len(run("snapshots")[1]) == 2 and "30" in run("stats")[1][1]
+    assert run("quotes")[0] == 2 and run("trades", "--limit", "0")[0] == 2
+    code, lines = run("--format", "json", "replay", "--batch", "12", "--batches", "2")
+    assert code == 0 and len([x for x in lines if x.startswith("{")]) == 24 and "24 of 30 rows, 80.0 %" in lines[-1]
+
+
+def test_recent_tail_keeps_its_bounds(spark, tmp_path, trades):
+    from tidemark.streaming.tail import Tail
+
+    tail = Tail(spark, f"file://{tmp_path}/tail", minutes=1, most=4)
+    rows = trades.select("symbol", "ts", "seq")
+    for n in range(3):
+        tail.add(rows.filter(F.col("seq").between(20 * n, 20 * n + 19)), n)
+    tail.add(rows.filter("seq >= 40"), 2)  # a batch that runs again
+    got = tail.read(rows.schema).collect()
+    want = sorted((r.ts for r in rows.collect()), reverse=True)
+    by = {}
+    for r in got:
+        by.setdefault(r.symbol, []).append(r)
+    assert all(len(v) <= 4 for v in by.values()) and max(r.ts for r in got) == want[0] and all(r.ts > want[0] - timedelta(minutes=1) for r in got)
+    assert len(tail.generations()) <= 3 and tail.stats(rows.schema).count() == len(by)
+
+
+def test_dead_letters_roll(spark, tmp_path):
+    from tidemark.streaming.letters import Letters
+
+    box = Letters(spark, f"file://{tmp_path}/dead", roll_bytes=2000)
+    rows = spark.range(100).select(F.concat(F.lit("record "), "id").alias("raw_record"), F.when(F.col("id") % 4 == 0, "price_is_null").otherwise("symbol_required").alias("error_reason"), F.lit("x").alias("error_type")).coalesce(1)
+    box.put(rows, "1")
+    box.put(rows, "1")  # runs again
+    told = box.stats()
+    assert told["letters"] == 100 and told["reasons"] == {"price_is_null": 25, "symbol_required": 75} and told["files"] >= 5 and max(b for _, b in box.list()) < 3000
+    assert box.read(reason="price_is_null").count() == 25 and box.list("1999-01-01") == []
 
 
 def test_engine_rolls_stored_bars_up(spark, trades):
@@ -127,7 +246,11 @@ def test_every_row_is_valid_or_a_dead_letter(spark):
     valid, dead = Q.split(df, F.lit(now))
     assert valid.count() == 1
     got = sorted((r.error_reason, list(r.errors)) for r in dead.collect())
-    assert got == [("message_id_is_null", ["message_id_is_null", "price_is_null", "price_not_positive", "quantity_not_positive", "side_invalid", "timestamp_is_null", "timestamp_in_future", "timestamp_too_old", "asset_class_invalid"]), ("side_invalid", ["side_invalid", "timestamp_too_old"]), ("symbol_is_null", ["symbol_is_null", "price_not_positive", "timestamp_in_future"])]
+    assert got == [("price_is_null", ["price_is_null", "quantity_must_be_positive", "invalid_side", "message_id_required", "deserialization_failed_or_null_fields"]), ("price_must_be_positive", ["price_must_be_positive", "timestamp_in_future"]), ("timestamp_too_old", ["timestamp_too_old", "deserialization_failed_or_null_fields"])]
+    kinds = {r.error_reason: r.error_type for r in dead.collect()}
+    assert kinds == {"price_is_null": "price_validation", "price_must_be_positive": "price_validation", "timestamp_too_old": "timestamp_validation"}
+    edge = df.limit(1).withColumn("timestamp", F.lit(now))
+    assert [r.error_reason for r in Q.split(edge, F.lit(now))[1].collect()] == ["timestamp_in_future"]
 
 
 def test_audit_statuses(spark):

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import avro
 from tidemark.functions import normalize as N
-from tidemark.plans.offload import Mark, Marks, due, maintain, offload, run_layers
-from tidemark.plans.rows_only import TICKS
+from tidemark.operators.candles import candles
+from tidemark.plans.offload import Mark, Marks, Metrics, due, has_new, maintain, offload, reaggregate, run_layers
+from tidemark.plans.stored import TICKS
 from tidemark.sources import readers as R
-from tidemark.sources.schemas import TABLES, Registry
+from tidemark.sources.schemas import TABLES, Registry, TableSpec
 from tidemark.sources.store import Conflict, Snapshot, Store
 from tidemark.streaming import medallion as M
 
@@ -47,7 +48,117 @@ def test_time_travel_and_repeated_batches(spark, store):
 def test_a_second_writer_of_the_same_snapshot_fails(spark, store):
     base = store.append(ticks(spark, [1]))
     with pytest.raises(Conflict):
-        store._commit(Snapshot(0, 0.0, "x", {}), "append", base.files)
+        store._commit(Snapshot(0, 0.0, "x", {}), "overwrite", lambda _: base.files)
+
+
+def test_an_append_that_loses_begins_again(spark, store):
+    base = store.append(ticks(spark, [1]))
+    store.append(ticks(spark, [2]), "b2")
+    new = store._put(ticks(spark, [3]))
+    store._commit(base, "append", lambda b: b.files | new, "b3", retries=2)
+    assert seqs(store.read()) == [1, 2, 3]
+    again = store._commit(base, "append", lambda b: b.files | {"x": {}}, "b2", retries=2)  # committed by the other
+    assert again.id == 3 and seqs(store.read()) == [1, 2, 3]
+
+
+def test_batch_ids_are_kept_for_good(spark, store):
+    base = store.create()
+    for start in range(0, 2500, 500):
+        ids = tuple(f"b{i}" for i in range(start, start + 500))
+        base = store._commit(Snapshot(base.id, 0.0, "x", {}, base.batches + ids, base.sealed), "append", lambda _: {}, None)
+    assert len(base.batches) <= 1000 and len(base.sealed) >= 1
+    assert all(store.holds(base, f"b{i}") for i in (0, 777, 1500, 2499)) and not store.holds(base, "b2500")
+
+
+def test_upsert_moves_a_key_to_another_partition(spark, store):
+    store.append(ticks(spark, [1, 2]).unionByName(ticks(spark, [3], 1)))
+    store.upsert(ticks(spark, [1, 3], 2))
+    assert sorted((r.seq, str(r.day)) for r in store.read().collect()) == [(1, "2026-01-03"), (2, "2026-01-01"), (3, "2026-01-03")]
+    store.upsert(ticks(spark, [2], 2))
+    assert seqs(store.read()) == [1, 2, 3] and store.partitions().count() == 1
+
+
+def test_tables_are_made_described_and_dropped(spark, tmp_path):
+    r = Registry(f"file://{tmp_path}", spark=spark)
+    assert r.tables() == []
+    t = Store(spark, r.path("trades"), r.spec("trades"))
+    assert not t.exists() and t.create().id == 1 and t.create().id == 1 and r.tables() == ["trades"] and t.read().count() == 0
+    assert {x.column for x in t.describe().collect() if x.is_partition} == {"trade_date", "exchange"}
+    r.swap("trades", "trades_v2")
+    again = Registry(f"file://{tmp_path}", spark=spark)  # another process sees the swap
+    assert again.path("trades").endswith("/trades_v2") and again.tables() == []
+    r.swap("trades", "trades")
+    assert again.tables() == ["trades"]
+    t.drop()
+    assert again.tables() == []
+
+
+def test_streams_go_into_and_out_of_the_store(spark, store, tmp_path):
+    source = ticks(spark, range(6))
+    source.write.parquet(f"{tmp_path}/in")
+    stream = R.file_stream(spark, f"{tmp_path}/in", source.schema)
+    for _ in range(2):  # the second run finds nothing new
+        store.sink(stream, f"{tmp_path}/check").awaitTermination()
+    assert seqs(store.read()) == list(range(6))
+    store.append(ticks(spark, [9]))
+    got = [seqs(rows) for _, rows in store.stream()]
+    assert sorted(sum(got, [])) == [0, 1, 2, 3, 4, 5, 9] and [seqs(rows) for s, rows in store.stream(store.ids()[-2])] == [[9]]
+
+
+def test_bounds_prune_the_manifest(spark, store):
+    store.append(ticks(spark, [1]).unionByName(ticks(spark, [2], 1)).unionByName(ticks(spark, [3], 2)))
+    df = store.read(between=("2026-01-02", "2026-01-02"))
+    assert seqs(df) == [2] and len(df.inputFiles()) == 1
+
+
+def test_late_data_is_aggregated_again(spark, tmp_path):
+    t = ticks(spark, range(0, 300, 10))
+    spec = TableSpec("bars", candles(t, "1m").drop("vwap").withColumn("window_date", F.to_date("window_start")).schema, ("window_date",), ("exchange", "symbol"), None, ("exchange", "symbol", "window_start"))
+    bars = Store(spark, f"file://{tmp_path}/bars", spec)
+    now = F.lit(BASE + timedelta(seconds=290)).cast("timestamp_ntz")
+    reaggregate(t, bars, "1m", now=now, minutes=10)
+    late = t.unionByName(ticks(spark, [205]))
+    reaggregate(late, bars, "1m", now=now, minutes=2)
+    want = {r.window_start: r.trade_count for r in candles(late, "1m").collect()}
+    assert {r.window_start: r.trade_count for r in bars.read().collect()} == want
+
+
+def test_metrics_and_the_check_for_new_data(spark, store):
+    source, m = ticks(spark, range(5)), Metrics()
+    now = F.lit(BASE + timedelta(seconds=100, minutes=5)).cast("timestamp_ntz")
+    assert has_new(source, store, "t", ts="ts", seq="seq", now=now)
+    offload(source, store, "t", ts="ts", seq="seq", now=now, metrics=m)
+    assert not has_new(source, store, "t", ts="ts", seq="seq", now=now)
+    with pytest.raises(Exception):
+        offload(source.drop("price"), store, "t", ts="ts", seq="seq", now=now, metrics=m)
+    text = m.text()
+    assert 'rows_total{table="t"} 5' in text and 'loads_total{table="t",kind="failed"} 1' in text and 'seconds_count{table="t"} 1' in text
+
+
+def test_database_windows(spark, tmp_path, monkeypatch):
+    seen = {}
+
+    class Reader:
+        def format(self, kind):
+            return self
+
+        def option(self, k, v):
+            seen[k] = v
+            return self
+
+        def options(self, **more):
+            return self
+
+        def load(self):
+            return "rows"
+
+    class Session:
+        read = Reader()
+
+    assert R.jdbc_window(Session(), "jdbc:x", "t", "ts", "seq", "2026-01-01", "2026-01-02", low_seq=7, partition_column="seq", bounds=(0, 100)) == "rows"
+    assert seen["dbtable"] == "(SELECT * FROM t WHERE (ts > '2026-01-01' OR (ts = '2026-01-01' AND seq > 7)) AND ts <= '2026-01-02') w" and seen["numPartitions"] == 8
+    with pytest.raises(ValueError):
+        R.jdbc_window(Session(), "jdbc:x", "t; drop", "ts", "seq", "a", "b")
 
 
 def test_overwrite_upsert_and_delete_touch_their_partitions_only(spark, store):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,25 +12,37 @@ from tidemark.functions.buckets import FRAMES, frame
 KEYS = ("exchange", "symbol", "window_start")
 
 
+SHIFT = Decimal(10**19)
+
+
 def _order(ts: str, seq: str | None) -> Column:
-    """A total order in one number, so the aggregates' buffers stay fixed-width and hash aggregation applies."""
-    us = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(20,0)")
-    return us if seq is None else (us * F.lit(10**18).cast("decimal(19,0)") + F.col(seq).cast("decimal(19,0)")).cast("decimal(38,0)")
+    """A total order in one number, so the aggregates' buffers stay fixed-width and hash aggregation applies.
+
+    A sequence takes nineteen digits at most, which stand below the time's.
+    """
+    us = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(19,0)")
+    return us.cast("decimal(38,0)") if seq is None else (us * SHIFT + F.coalesce(F.col(seq), F.lit(0)).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+STATE = ("open_time", "close_time", "open_seq", "close_seq", "open", "high", "low", "close", "volume", "quote_volume", "trade_count")
 
 
 def candles(trades: DataFrame, width: str, *, ts: str = "ts", seq: str | None = "seq", keys: tuple[str, ...] = ("exchange", "symbol")) -> DataFrame:
     """One bar for each key and tumbling window of ``width`` (a frame's name, or a duration).
 
-    Open and close follow event time, ties the sequence.  The result holds mergeable states (open_time, close_time, quote_volume), so
-    bars roll up and merge without the trades.
+    Open and close follow event time, ties the sequence (from 0 on).  The result holds mergeable states (times and sequences of open and close,
+    quote_volume), so bars roll up and merge without the trades.
     """
     width = frame(width) if width in FRAMES else width
-    t = trades.select(*keys, "price", "quantity", ts, F.window(ts, width).alias("_w"), _order(ts, seq).alias("_o"))
+    own = F.lit(None).cast("long") if seq is None else F.col(seq).cast("long")
+    t = trades.select(*keys, "price", "quantity", ts, own.alias("_s"), F.window(ts, width).alias("_w"), _order(ts, seq).alias("_o"))
     notional = (F.col("price") * F.col("quantity")).cast("decimal(38,16)")
     # Grouping by the window itself keeps a stream's watermark.
     bars = t.groupBy(*keys, "_w").agg(
         F.min(ts).alias("open_time"),
         F.max(ts).alias("close_time"),
+        F.min_by("_s", "_o").alias("open_seq"),
+        F.max_by("_s", "_o").alias("close_seq"),
         F.min_by("price", "_o").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
@@ -47,13 +61,18 @@ def vwap() -> Column:
 
 
 def _combined(bars: DataFrame, keys: list) -> DataFrame:
-    out = bars.groupBy(*keys).agg(
+    """States put together: the open of the first (time, sequence), the close of the last, sums of sums."""
+    first, last = _order("open_time", "open_seq"), _order("close_time", "close_seq")
+    marked = bars.withColumns({"_f": first, "_l": last})
+    out = marked.groupBy(*keys).agg(
         F.min("open_time").alias("open_time"),
         F.max("close_time").alias("close_time"),
-        F.min_by("open", "open_time").alias("open"),
+        F.min_by("open_seq", "_f").alias("open_seq"),
+        F.max_by("close_seq", "_l").alias("close_seq"),
+        F.min_by("open", "_f").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.max_by("close", "close_time").alias("close"),
+        F.max_by("close", "_l").alias("close"),
         F.sum("volume").cast("decimal(38,8)").alias("volume"),
         F.sum("quote_volume").cast("decimal(38,8)").alias("quote_volume"),
         F.sum("trade_count").alias("trade_count"),
@@ -73,6 +92,11 @@ def merge_additive(old: DataFrame, new: DataFrame) -> DataFrame:
     return _combined(old.unionByName(new), ["exchange", "symbol", "window_start", "window_end"])
 
 
+def over_venues(bars: DataFrame) -> DataFrame:
+    """Bars of a symbol over all venues, out of those of each."""
+    return _combined(bars, ["symbol", "window_start", "window_end"])
+
+
 def merge_replace(old: DataFrame, new: DataFrame) -> DataFrame:
     """New bars in place of old ones of the same key; others stay.  Safe to run twice."""
     return old.join(new.select(*KEYS), list(KEYS), "left_anti").unionByName(new)
@@ -105,7 +129,7 @@ def buckets(trades: DataFrame, width: str, metrics: list[str], *, ts: str = "ts"
     """Ad-hoc metrics by symbol and window, ordered: open, high, low, close, volume, count, vwap, twap."""
     known = {
         "open": F.min_by("price", "_o"), "high": F.max("price"), "low": F.min("price"), "close": F.max_by("price", "_o"),
-        "volume": F.sum("quantity").cast("decimal(38,8)"), "trade_count": F.count("*"), "twap": F.avg("price").cast("double"),
+        "volume": F.sum("quantity").cast("decimal(38,8)"), "trade_count": F.count("*"), "twap": F.avg(F.col("price").cast("double")),
         "vwap": F.sum((F.col("price") * F.col("quantity")).cast("decimal(38,16)")).cast("double") / F.nullif(F.sum("quantity").cast("double"), F.lit(0.0)),
     }
     if unknown := [m for m in metrics if m not in known]:

@@ -42,6 +42,17 @@ def interval(left: DataFrame, right: DataFrame, *, keys: list[str], seconds: int
     return l.join(r, [*keys, "_b"]).filter(within).drop("_b")
 
 
+def ranged(left: DataFrame, right: DataFrame, *, keys: list[str], value: str, low: str, high: str, width: float, columns: list[str]) -> DataFrame:
+    """Pairs of left rows and right rows of the key whose interval [low, high] holds the left value.
+
+    The number line is cut into cells of ``width``; an interval stands in each cell it touches, a value in one.  So pairs meet by equality, and once.
+    """
+    cell = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
+    r = right.select(*keys, F.col(low).alias("_low"), F.col(high).alias("_high"), *columns).filter("_low <= _high")
+    r = r.withColumn("_cell", F.explode(F.sequence(cell("_low"), cell("_high"))))
+    return left.withColumn("_cell", cell(value)).join(r, [*keys, "_cell"]).filter(F.col(value).between(F.col("_low"), F.col("_high"))).drop("_cell", "_low", "_high")
+
+
 def spreads(trades: DataFrame, width: str, venues: list[str], ts: str = "ts") -> DataFrame:
     """Mean price by symbol and bucket for each venue, and the absolute difference of each pair; null where one is silent."""
     means = trades.groupBy("symbol", F.window(ts, width)["start"].alias("bucket")).pivot("exchange", venues).agg(F.avg("price").cast("double"))

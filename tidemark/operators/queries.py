@@ -21,6 +21,12 @@ def one_of(column: str, values: str | list[str] | None) -> Column | None:
     return F.col(column) == values if isinstance(values, str) else F.col(column).isin(list(values))
 
 
+def named(column: str, name: str) -> Column:
+    """A name as it is written or upper-cased; plain values, so the scan can prune."""
+    bare = name.strip()
+    return F.col(column).isin(*dict.fromkeys((bare, bare.upper())))
+
+
 def at_least(column: str, value) -> Column | None:
     return None if value is None else F.col(column) >= F.lit(value)
 
@@ -46,10 +52,10 @@ def newest(df: DataFrame, limit: int, offset: int = 0, ts: str = "ts", seq: str
     return (out.offset(offset) if offset else out).limit(limit)
 
 
-def trades(df: DataFrame, *, symbols=None, exchanges=None, start=None, end=None, min_price=None, max_price=None, min_quantity=None, fields: list[str] | None = None, limit: int = 1000, offset: int = 0, ts: str = "ts") -> DataFrame:
+def trades(df: DataFrame, *, symbols=None, exchanges=None, start=None, end=None, min_price=None, max_price=None, min_quantity=None, fields: list[str] | None = None, limit: int = 1000, offset: int = 0, ts: str = "ts", seq: str = "seq") -> DataFrame:
     """Filter, then order, then cut: all bounds inclusive."""
     found = where(df, one_of("symbol", symbols), one_of("exchange", exchanges), at_least(ts, start), at_most(ts, end), at_least("price", min_price), at_most("price", max_price), at_least("quantity", min_quantity))
-    page = newest(found, limited(limit), offset, ts)
+    page = newest(found, limited(limit), offset, ts, seq)
     return page.select(*fields) if fields else page
 
 
@@ -57,11 +63,11 @@ quotes = trades
 
 
 def bars(df: DataFrame, timeframe: str, *, symbol: str, exchange: str | None = None, start=None, end=None, limit=1000) -> DataFrame:
-    """Bars of a symbol, newest first; names are trimmed and upper-cased, timeframe and limit checked."""
+    """Bars of a symbol, newest first; names are trimmed, and taken as they are or upper-cased, timeframe and limit checked."""
     if timeframe not in FRAMES:
         raise ValueError(f"timeframe must be one of {', '.join(FRAMES)}")
     n = limited(limit)
-    names = (F.upper(F.col("symbol")) == symbol.strip().upper(), None if exchange is None else F.upper(F.col("exchange")) == exchange.strip().upper())
+    names = (named("symbol", symbol), None if exchange is None else named("exchange", exchange))
     return where(df, *names, at_least("window_start", start), at_most("window_start", end)).orderBy(F.desc("window_start"), "exchange").limit(n)
 
 
@@ -108,12 +114,30 @@ def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
 def hybrid(lake: DataFrame, tail: DataFrame, *, as_of, lag_seconds: int = 120, start=None, end=None, limit: int = 1000, key: str = "message_id", ts: str = "ts", seq: str = "seq") -> DataFrame:
     """Lake up to the commit lag, tail from there; a message in both is the lake's; newest rows, oldest first.
 
-    Rows without a key are all kept.
+    Of either leg only the newest rows can be in the answer, so each gives a top-k, of some more rows than asked for, among which copies of a message
+    count once (copies that lie farther apart are for compaction to remove).  A message has one time, so the legs share
+    messages only at the cut.  Rows without a key are all kept.
     """
     cut = F.lit(as_of) - F.expr(f"INTERVAL {int(lag_seconds)} SECONDS")
-    legs = [where(lake, at_least(ts, start), at_most(ts, end)).filter(F.col(ts) <= cut).withColumn("_leg", F.lit(0)), where(tail, at_least(ts, start), at_most(ts, end)).filter(F.col(ts) >= cut).withColumn("_leg", F.lit(1))]
-    both = legs[0].unionByName(legs[1])
-    first = F.row_number().over(Window.partitionBy(key).orderBy("_leg", ts, seq))
-    keyed = both.filter(F.col(key).isNotNull()).withColumn("_n", first).filter("_n = 1").drop("_n")
-    merged = keyed.unionByName(both.filter(F.col(key).isNull())).drop("_leg")
-    return newest(merged, limit, ts=ts, seq=seq).orderBy(ts, seq)
+    old = where(lake, at_least(ts, start), at_most(ts, end)).filter(F.col(ts) <= cut)
+    fresh = where(tail, at_least(ts, start), at_most(ts, end)).filter(F.col(ts) >= cut)
+    shared = old.filter((F.col(ts) >= cut) & F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    fresh = fresh.join(shared, F.col(key) == F.col("_key"), "left_anti")
+    legs = [_once(newest(leg, 2 * limit + 100, ts=ts, seq=seq), key, ts, seq) for leg in (old, fresh)]
+    return newest(legs[0].unionByName(legs[1]), limit, ts=ts, seq=seq).orderBy(ts, seq)
+
+
+def _once(df: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
+    """The first row of each key, by time and sequence; rows without a key are all kept."""
+    first = F.row_number().over(Window.partitionBy(key).orderBy(ts, seq))
+    return df.filter(F.col(key).isNotNull()).withColumn("_n", first).filter("_n = 1").drop("_n").unionByName(df.filter(F.col(key).isNull()))
+
+
+def not_in(df: DataFrame, column: str, other: DataFrame, of: str) -> DataFrame:
+    """``column NOT IN (SELECT of FROM other)`` as SQL has it: nothing if the other side holds a null, and no null rows unless it is empty.
+
+    Two aggregates of the other side tell which case it is; the rest is an anti-join on the key.
+    """
+    told = other.agg(F.count("*").alias("_rows"), F.count_if(F.col(of).isNull()).alias("_nulls"))
+    kept = df.join(other.select(F.col(of).alias("_of")), F.col(column) == F.col("_of"), "left_anti")
+    return kept.join(F.broadcast(told)).filter((F.col("_rows") == 0) | (F.col("_nulls") == 0) & F.col(column).isNotNull()).drop("_rows", "_nulls")  # one row

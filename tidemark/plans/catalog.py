@@ -116,11 +116,11 @@ def _(spark, d):
 
 # --- candles -----------------------------------------------------------------------------------------------------
 
-_BAR = ", ".join(f"{_half_up(x)} AS {n}" if n != "trade_count" else f"{x} AS {n}" for x, n in (
+_BAR_PARTS = [f"{_half_up(x)} AS {n}" if n != "trade_count" else f"{x} AS {n}" for x, n in (
     ("CAST(arg_min(price, row(ts, seq)) AS DOUBLE)", "open"), ("CAST(max(price) AS DOUBLE)", "high"), ("CAST(min(price) AS DOUBLE)", "low"), ("CAST(arg_max(price, row(ts, seq)) AS DOUBLE)", "close"),
     ("CAST(sum(quantity) AS DOUBLE)", "volume"), ("count(*)", "trade_count"), ("CAST(sum(CAST(price * 10000 AS HUGEINT) * CAST(quantity AS HUGEINT)) AS DOUBLE) / 10000.0 / nullif(CAST(sum(quantity) AS DOUBLE), 0)", "vwap"),
-))
-_LOTS = _BAR.replace("row(ts, seq)", "row(ts, seq, price)").replace("CAST(sum(CAST(price * 10000 AS HUGEINT) * CAST(quantity AS HUGEINT)) AS DOUBLE) / 10000.0", "sum(CAST(price AS DOUBLE) * CAST(quantity AS DOUBLE))")
+)]
+_BAR, _BAR_PLAIN = ", ".join(_BAR_PARTS), ", ".join(_BAR_PARTS[:-1])
 _BAR_COLUMNS = ("open", "high", "low", "close", "volume", "trade_count", "vwap")
 
 
@@ -149,21 +149,15 @@ _rolled("ohlcv_rollup_1m_5m_30m", ("1m", "5m", "30m"), 30)
 _rolled("ohlcv_rollup_1h_1d", ("1h", "1d"), 1440)
 
 
-@register("ohlcv_daily_lots", f"SELECT symbol, time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS window_start, {_LOTS} FROM daily GROUP BY 1, 2")
+@register("ohlcv_daily_lots", f"SELECT symbol, time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS window_start, {_BAR_PLAIN} FROM daily GROUP BY 1, 2")
 def _(spark, d):
-    t = V.daily(spark, d)
-    order = F.struct("ts", "seq", "price")
-    bars = t.groupBy("symbol", F.window("ts", "1 day")["start"].alias("window_start")).agg(
-        F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"),
-        F.sum("quantity").cast("decimal(38,8)").alias("volume"), F.count("*").alias("trade_count"),
-        (F.sum(F.col("price").cast("double") * F.col("quantity").cast("double")) / F.nullif(F.sum("quantity").cast("double"), F.lit(0.0))).alias("vwap"),
-    )
-    return _rounded(bars)
+    return _rounded(C.candles(V.daily(spark, d), "1d").select("symbol", "window_start", *_BAR_COLUMNS[:-1]))
 
 
-@register("candle_merge", f"SELECT exchange, symbol, time_bucket(INTERVAL '60 minutes', ts, TIMESTAMP '1970-01-01') AS window_start, {_BAR} FROM trades WHERE quantity > 0 GROUP BY 1, 2, 3")
+@register("candle_merge", f"SELECT exchange, symbol, time_bucket(INTERVAL '60 minutes', ts, TIMESTAMP '1970-01-01') AS window_start, {_BAR} FROM (SELECT * REPLACE (date_trunc('hour', ts) AS ts) FROM trades WHERE quantity > 0) GROUP BY 1, 2, 3")
 def _(spark, d):
-    t = V.trades(spark, d).filter("quantity > 0")
+    # Times cut to the hour: all trades of a bar are ties, which the sequence settles.
+    t = V.trades(spark, d).filter("quantity > 0").withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     old, new = C.candles(t.filter("seq % 3 <> 0"), "1h"), C.candles(t.filter("seq % 3 = 0"), "1h")
     return _rounded(C.merge_additive(old, new).select("exchange", "symbol", "window_start", *_BAR_COLUMNS))
 
@@ -207,11 +201,19 @@ def _(spark, d):
 
 @register("agg_vwap_twap", f"SELECT symbol, time_bucket(INTERVAL '15 minutes', ts) AS bucket, {_BAR}, round(avg(CAST(price AS DOUBLE)), 6) AS twap FROM trades WHERE exchange = 'KRAKEN' GROUP BY 1, 2")
 def _(spark, d):
-    t = V.trades(spark, d).filter("exchange = 'KRAKEN'")
-    found = C.buckets(t, "15m", ["open", "high", "low", "close", "volume", "trade_count", "vwap"])
-    # The mean of doubles, as the check takes it; the operator's own is of decimals.
-    twap = t.groupBy("symbol", F.window("ts", "15 minutes")["start"].alias("bucket")).agg(F.avg(F.col("price").cast("double")).alias("twap"))
-    return _rounded(found.join(twap, ["symbol", "bucket"]))
+    return _rounded(C.buckets(V.trades(spark, d).filter("exchange = 'KRAKEN'"), "15m", ["open", "high", "low", "close", "volume", "trade_count", "vwap", "twap"]))
+
+
+@register("summary_from_bars", f"SELECT symbol, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {_BAR} FROM trades WHERE quantity > 0 GROUP BY 1, 2")
+def _(spark, d):
+    bars = C.over_venues(C.candles(V.trades(spark, d).filter("quantity > 0"), "1d"))
+    return _rounded(bars.select("symbol", F.to_date("window_start").cast("string").alias("day"), *_BAR_COLUMNS))
+
+
+@register("approx_distinct", "SELECT symbol, true AS near FROM trades GROUP BY symbol")
+def _(spark, d):
+    t = V.trades(spark, d).groupBy("symbol").agg(F.approx_count_distinct("user_id", 0.02).alias("a"), F.count_distinct("user_id").alias("n"))
+    return t.select("symbol", (F.abs(F.col("a") - F.col("n")) <= 0.1 * F.col("n")).alias("near"))
 
 
 @register("volume_profile", "SELECT symbol, time_bucket(INTERVAL '1 day', ts) AS bucket, floor(CAST(price AS DOUBLE) / 25.0) * 25.0 AS price_level, round(CAST(sum(quantity) AS DOUBLE), 6) AS volume, count(*) AS trade_count FROM trades GROUP BY 1, 2, 3")
@@ -285,7 +287,10 @@ def _(spark, d):
 def _(spark, d):
     event = N.micros(F.col("ts"))
     ms = N.latency_ms(event, event + (F.col("seq") * 7919) % 1000 * 1000).cast("double")
-    return V.trades(spark, d).select("exchange", ms.alias("ms")).groupBy("exchange").agg(F.round(F.avg("ms"), 6).alias("mean_ms"), *(F.round(F.expr(f"percentile(ms, {q})"), 6).alias(a) for q, a in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))))
+    # Equal latencies are counted first, so a venue's task holds each once.
+    counted = V.trades(spark, d).select("exchange", ms.alias("ms")).groupBy("exchange", "ms").agg(F.count("*").alias("n"))
+    quantiles = (F.round(F.expr(f"percentile(ms, {q}, n)"), 6).alias(a) for q, a in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")))
+    return counted.groupBy("exchange").agg(F.round(F.sum(F.col("ms") * F.col("n")) / F.sum("n"), 6).alias("mean_ms"), *quantiles)
 
 
 @register("ingest_verification", "SELECT symbol, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, min(length(trade_id)) AS shortest, max(length(trade_id)) AS longest FROM trades GROUP BY symbol")
@@ -312,6 +317,12 @@ def _(spark, d):
     return X.over_preceding(t, 10, {"mean": F.avg("price")}, keys=["symbol"], order=["ts", "seq"]).select("seq", "symbol", F.round("mean", 6).alias("moving_avg"))
 
 
+@register("range_frame", "SELECT seq, symbol, count(*) OVER (PARTITION BY symbol ORDER BY ts RANGE BETWEEN INTERVAL '10 minutes' PRECEDING AND CURRENT ROW) AS recent FROM trades")
+def _(spark, d):
+    t = V.trades(spark, d).select("seq", "symbol", "ts")
+    return X.over_range(t, 600, {"recent": F.count("*")}, keys=["symbol"]).select("seq", "symbol", "recent")
+
+
 @register("sliding_volume", "SELECT symbol, w AS window_start, round(CAST(sum(quantity) AS DOUBLE), 6) AS volume FROM (SELECT symbol, quantity, unnest([time_bucket(INTERVAL '30 minutes', ts), time_bucket(INTERVAL '30 minutes', ts) - INTERVAL '30 minutes']) AS w FROM trades) GROUP BY 1, 2")
 def _(spark, d):
     return _rounded(V.trades(spark, d).groupBy("symbol", F.window("ts", "1 hour", "30 minutes")["start"].alias("window_start")).agg(F.sum("quantity").alias("volume")))
@@ -338,7 +349,7 @@ def _(spark, d):
 def _(spark, d):
     own = V.trades(spark, d).filter("exchange = 'KRAKEN'").select("seq")
     # Gaps between neighbours, opened up: no list of all numbers is made.
-    return Q.gaps(own.withColumn("all", F.lit(1)), "seq", ("all",)).select(F.explode(F.sequence("gap_start", "gap_end")).alias("seq"))
+    return Q.gaps(own, "seq").select(F.explode(F.sequence("gap_start", "gap_end")).alias("seq"))
 
 
 @register("seq_events", """, s AS (SELECT exchange, symbol, ts, CASE WHEN seq % 97 = 0 THEN seq // 3 WHEN seq % 89 = 0 THEN seq - 20 ELSE seq END AS q, seq FROM trades),
@@ -360,9 +371,9 @@ def _(spark, d):
 # --- joins and sets ----------------------------------------------------------------------------------------------
 
 
-@register("trade_quote_join", "SELECT t.seq, t.symbol, CAST(t.price AS DOUBLE) AS price, CAST(q.bid_price AS DOUBLE) AS bid_price, CAST(q.ask_price AS DOUBLE) AS ask_price FROM trades t LEFT JOIN (SELECT * FROM quotes WHERE seq % 2 = 0) q ON t.symbol = q.symbol AND t.ts = q.ts")
+@register("trade_quote_join", "SELECT t.seq, t.symbol, CAST(t.price AS DOUBLE) AS price, CAST(q.bid_price AS DOUBLE) AS bid_price, CAST(q.ask_price AS DOUBLE) AS ask_price FROM trades t LEFT JOIN (SELECT * FROM quotes WHERE exchange = 'KRAKEN') q ON t.symbol = q.symbol AND t.ts = q.ts")
 def _(spark, d):
-    q = V.quotes(spark, d).filter("seq % 2 = 0").select("symbol", "ts", "bid_price", "ask_price")
+    q = V.quotes(spark, d).filter("exchange = 'KRAKEN'").select("symbol", "ts", "bid_price", "ask_price")
     return J.exact(V.trades(spark, d), q, ["symbol", "ts"]).select("seq", "symbol", *(F.col(c).cast("double").alias(c) for c in ("price", "bid_price", "ask_price")))
 
 
@@ -411,6 +422,19 @@ def _(spark, d):
     return P.hybrid(lake, tail, as_of=as_of, start=_ts("2024-01-19 00:00:00"), end=as_of, limit=400, key="trade_id")
 
 
+@register("not_in_nulls", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT CASE WHEN o_totalprice > 150000 THEN o_custkey END FROM orders WHERE o_totalprice > 150000)")
+def _(spark, d):
+    o = V.table(spark, d, "orders").filter("o_totalprice > 150000").select(F.when(F.col("o_totalprice") > 150000, F.col("o_custkey")).alias("k"))
+    return P.not_in(V.table(spark, d, "customer"), "c_custkey", o, "k").select("c_custkey")
+
+
+@register("range_join", "SELECT c_custkey, n_nationkey FROM customer JOIN nation ON c_acctbal BETWEEN n_nationkey * 400.0 - 1000 AND n_nationkey * 400.0 - 100")
+def _(spark, d):
+    bands = V.table(spark, d, "nation").select("n_nationkey", (F.col("n_nationkey") * 400.0 - 1000).alias("low"), (F.col("n_nationkey") * 400.0 - 100).alias("high"))
+    c = V.table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").cast("double").alias("v"))
+    return J.ranged(c, bands, keys=[], value="v", low="low", high="high", width=500.0, columns=["n_nationkey"]).select("c_custkey", "n_nationkey")
+
+
 @register("setop_intersect", "SELECT user_id FROM trades WHERE exchange = 'BINANCE' AND symbol = 'click' INTERSECT SELECT user_id FROM trades WHERE symbol = 'purchase'")
 def _(spark, d):
     t = V.trades(spark, d)
@@ -434,12 +458,19 @@ def _(spark, d):
 
 _RAW = """, raw AS (SELECT trade_id AS message_id, CASE WHEN seq % 50 = 0 THEN NULL WHEN seq % 53 = 0 THEN '' ELSE symbol END AS symbol, CASE WHEN seq % 31 = 0 THEN NULL WHEN seq % 37 = 0 THEN -price ELSE price END AS price, quantity,
 CASE WHEN seq % 41 = 0 THEN 'HOLD' ELSE side END AS side, CASE WHEN seq % 43 = 0 THEN NULL ELSE epoch_us(ts) END AS timestamp, CASE WHEN seq % 47 = 0 THEN 'equities' ELSE 'crypto' END AS asset_class FROM trades)"""
-_RULES = (
-    ("message_id_is_null", "message_id IS NOT NULL"), ("symbol_is_null", "symbol IS NOT NULL AND symbol <> ''"), ("price_is_null", "price IS NOT NULL"), ("price_not_positive", "price > 0"), ("quantity_is_null", "quantity IS NOT NULL"),
-    ("quantity_not_positive", "quantity > 0"), ("side_invalid", "side IN ('BUY', 'SELL')"), ("timestamp_is_null", "timestamp IS NOT NULL"), ("timestamp_in_future", "timestamp <= epoch_us(TIMESTAMP '2024-01-25')"),
-    ("timestamp_too_old", "timestamp > epoch_us(TIMESTAMP '2024-01-25') - 31536000000000"), ("asset_class_invalid", "asset_class = 'crypto'"),
+_WRONG = (
+    ("price_is_null", "price IS NULL"), ("price_must_be_positive", "price <= 0"), ("quantity_is_null", "quantity IS NULL"), ("quantity_must_be_positive", "quantity <= 0"), ("symbol_required", "symbol IS NULL"),
+    ("invalid_side", "side NOT IN ('BUY', 'SELL')"), ("timestamp_in_future", "timestamp >= as_of"), ("timestamp_too_old", "timestamp <= as_of - 31536000000000"), ("message_id_required", "message_id IS NULL"),
+    ("invalid_asset_class", "asset_class <> 'crypto'"), ("deserialization_failed_or_null_fields", "side IS NULL OR timestamp IS NULL OR asset_class IS NULL"),
 )
-_REASON = "CASE " + " ".join(f"WHEN NOT coalesce({c}, false) THEN '{n}'" for n, c in _RULES) + " ELSE 'none' END"
+
+
+def _reason(as_of: str) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in _WRONG).replace("as_of", f"epoch_us(TIMESTAMP '{as_of}')") + " ELSE 'none' END"
+
+
+_REASON = _reason("2024-01-25")
+_KIND = "CASE WHEN r = 'none' THEN 'valid' " + " ".join(f"WHEN contains(r, '{k}') THEN '{k}_validation'" for k in ("price", "quantity", "timestamp", "symbol", "side", "message_id", "asset_class")) + " ELSE 'unknown_error' END"
 
 
 def _raw(spark, d):
@@ -452,7 +483,7 @@ def _as_of():
     return N.micros(_ts("2024-01-25 00:00:00"))
 
 
-@register("dlq_reasons", f"{_RAW} SELECT CASE WHEN r = 'none' THEN 'valid' WHEN contains(r, 'price') THEN 'price_validation' WHEN contains(r, 'quantity') THEN 'quantity_validation' WHEN contains(r, 'timestamp') THEN 'timestamp_validation' ELSE 'schema_validation' END AS error_type, r AS error_reason, count(*) AS n FROM (SELECT {_REASON} AS r FROM raw) GROUP BY 1, 2")
+@register("dlq_reasons", f"{_RAW} SELECT {_KIND} AS error_type, r AS error_reason, count(*) AS n FROM (SELECT {_REASON} AS r FROM raw) GROUP BY 1, 2")
 def _(spark, d):
     return Q.metrics(_raw(spark, d), _as_of())
 
@@ -463,11 +494,17 @@ def _(spark, d):
     return valid.agg(F.count("*").alias("valid")).join(dead.agg(F.count("*").alias("invalid")))
 
 
-@register("validation_errors", f"{_RAW} SELECT message_id, concat_ws(',', " + ", ".join(f"CASE WHEN NOT coalesce({c}, false) THEN '{n}' END" for n, c in _RULES) + f") AS errors FROM raw WHERE ({_REASON}) <> 'none'")
+@register("validation_errors", f"{_RAW} SELECT message_id, concat_ws(',', " + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _WRONG).replace("as_of", "epoch_us(TIMESTAMP '2024-01-25')") + f") AS errors FROM raw WHERE ({_REASON}) <> 'none'")
 def _(spark, d):
     return Q.split(_raw(spark, d), _as_of())[1].select("message_id", F.concat_ws(",", "errors").alias("errors"))
 
 
+@register("stored_flags", f"{_RAW} SELECT message_id, coalesce(price > 0, false) AND coalesce(quantity > 0, false) AND coalesce(CAST(price AS DOUBLE) * CAST(quantity AS DOUBLE) > 0, false) AS is_valid, concat_ws(',', CASE WHEN NOT coalesce(price > 0, false) THEN 'invalid_price' END, CASE WHEN NOT coalesce(quantity > 0, false) THEN 'invalid_quantity' END, CASE WHEN NOT coalesce(CAST(price AS DOUBLE) * CAST(quantity AS DOUBLE) > 0, false) THEN 'invalid_quote_volume' END) AS validation_errors FROM raw")
+def _(spark, d):
+    found = Q.flagged(_raw(spark, d).withColumn("quote_volume", N.quote_volume(F.col("price"), F.col("quantity"))))
+    return found.select("message_id", "is_valid", F.concat_ws(",", "validation_errors").alias("validation_errors"))
+
+
 @register("null_profile", f"{_RAW} SELECT count(*) AS total, CAST(count_if(symbol IS NULL) AS BIGINT) AS symbol_nulls, CAST(count_if(price IS NULL) AS BIGINT) AS price_nulls, CAST(count_if(timestamp IS NULL) AS BIGINT) AS timestamp_nulls FROM raw")
 def _(spark, d):
     return Q.null_profile(_raw(spark, d), ["symbol", "price", "timestamp"])
@@ -480,7 +517,7 @@ def _(spark, d):
 
 
 _PAIRS = "SELECT n_nationkey AS k, list_extract(['BTCUSDT','ETHBTC','SOLUSDC','DOGEUSD','XRPEUR','ADAXYZ','btcbusd'], n_nationkey % 7 + 1) AS s, list_extract(['XBT/USD','ETH/XBT','XDG/EUR','XBT'], n_nationkey % 4 + 1) AS p, list_extract(['BTC-USD','ETH-EUR'], n_nationkey % 2 + 1) AS c FROM nation"
-_ENDS = "FDUSD|USDT|USDC|BUSD|TUSD|USDP|BTC|ETH|BNB|EUR|GBP|AUD|BRL|TRY|DAI|USD"
+_ENDS = "|".join(N.QUOTES)
 
 
 @register("normalize_symbol", f""", v AS ({_PAIRS}), x AS (SELECT *, upper(trim(s)) AS u, regexp_extract(upper(trim(s)), '^(.+?)({_ENDS})$', 2) AS q FROM v)
@@ -564,11 +601,28 @@ def _(spark, d):
     return high_mark(V.trades(spark, d), "ts", "seq")
 
 
+# --- streams and snapshots ---------------------------------------------------------------------------------------
+
+_STORED = {
+    "stream_candles": f"SELECT exchange, symbol, time_bucket(INTERVAL '60 minutes', ts, TIMESTAMP '1970-01-01') AS window_start, {_BAR} FROM trades WHERE quantity > 0 GROUP BY 1, 2, 3",
+    "stream_dedup": "SELECT DISTINCT trade_id AS message_id, exchange, symbol, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS exchange_date, CAST(hour(ts) AS INTEGER) AS exchange_hour FROM trades",
+    "stream_sequence": """, p AS (SELECT *, CASE WHEN seq < lag(seq) OVER (PARTITION BY exchange, symbol ORDER BY ts, seq) * 0.5 THEN 1 ELSE 0 END AS z FROM trades), r AS (SELECT *, sum(z) OVER (PARTITION BY exchange, symbol ORDER BY ts, seq) AS part FROM p),
+h AS (SELECT *, max(seq) OVER (PARTITION BY exchange, symbol, part ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM r), g AS (SELECT *, CASE WHEN z = 0 AND seq > high AND seq - high > 1 THEN seq - high - 1 ELSE 0 END AS gap FROM h)
+SELECT exchange, symbol, CASE WHEN z = 1 THEN 'RESET' WHEN high IS NULL THEN 'FIRST' WHEN seq <= high THEN 'OUT_OF_ORDER' WHEN gap = 0 THEN 'OK' WHEN gap <= 10 THEN 'SMALL_GAP' ELSE 'LARGE_GAP' END AS event, count(*) AS n, CAST(sum(gap) AS BIGINT) AS missing FROM g GROUP BY 1, 2, 3""",
+    "stream_dead_letters": f"SELECT {_KIND} AS error_type, r AS error_reason, count(*) AS n FROM (SELECT {_reason('2024-02-01')} AS r FROM (SELECT trade_id AS message_id, symbol, price, quantity, side, epoch_us(ts) AS timestamp, 'crypto' AS asset_class FROM trades)) WHERE r <> 'none' GROUP BY 1, 2",
+    "snapshot_time_travel": "SELECT CAST(count_if(seq % 2 = 0) AS BIGINT) AS \"then\", count(*) AS now FROM trades",
+    "compaction": "SELECT true AS fewer_files, count(*) AS n, CAST(sum(seq) AS BIGINT) AS total FROM trades",
+    "incremental_offload": "SELECT exchange, symbol, count(*) AS n, max(seq) AS last FROM trades WHERE ts <= TIMESTAMP '2024-02-15' - INTERVAL '5 minutes' GROUP BY 1, 2",
+    "full_load": "SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n FROM daily GROUP BY 1",
+    "candle_upsert_store": "SELECT exchange, count(*) AS bars, CAST(sum(n) AS BIGINT) AS trades FROM (SELECT exchange, symbol, time_bucket(INTERVAL '1 day', ts) AS w, count(*) AS n FROM trades WHERE quantity > 0 GROUP BY 1, 2, 3) GROUP BY exchange",
+}
+
+
 def queries() -> dict[str, Query]:
-    from tidemark.plans import rows_only
+    from tidemark.plans import stored
 
-    return _QUERIES | rows_only.QUERIES
+    return _QUERIES | stored.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | {name: WITH + sql for name, sql in _STORED.items()}

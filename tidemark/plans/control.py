@@ -31,6 +31,7 @@ class Degradation:
     level's threshold.
     """
 
+    # Lags and memory shares of the levels 1 to 4.
     lag_steps: tuple[int, ...] = (100_000, 500_000, 1_000_000, 5_000_000)
     memory_steps: tuple[float, ...] = (0.70, 0.80, 0.90, 0.95)
     pause: float = 30.0

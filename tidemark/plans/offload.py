@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.buckets import FRAMES
+from tidemark.operators import candles as C
 from tidemark.sources.store import Store
 
 BUFFER = "INTERVAL 5 MINUTES"
@@ -65,45 +69,95 @@ class Marks:
     """Watermarks as one small JSON file for each source."""
 
     def __init__(self, store: Store):
-        self.store = store
+        self.files = store.store
 
     def get(self, source: str) -> Mark:
-        path = f"{self.store.root}/_marks/{source}.json"
-        return Mark(**json.loads(self.store._read(path))) if self.store.fs.exists(self.store._path(path)) else Mark(source)
+        path = f"_marks/{source}.json"
+        return Mark(**json.loads(self.files.read(path))) if self.files.exists(path) else Mark(source)
 
     def put(self, mark: Mark) -> None:
-        path = f"{self.store.root}/_marks/{mark.source}.json"
-        out = self.store.fs.create(self.store._path(path), True)
-        out.write(bytearray(json.dumps(asdict(mark)).encode()))
-        out.close()
+        self.files.write(f"_marks/{mark.source}.json", json.dumps(asdict(mark)))
 
 
-def offload(source: DataFrame, target: Store, name: str, *, ts: str, seq: str, now: Column, clock: Callable[[], float] = time.time) -> int:
-    """Load what is new into the target once: window, anti-join on the key, append under a batch id, advance the mark."""
-    marks = Marks(target)
-    mark = marks.get(name).begin(clock())
+def has_new(source: DataFrame, target: Store, name: str, *, ts: str, seq: str, now: Column) -> bool:
+    """Whether there is anything to load: the first row of the window is enough."""
+    return bool(window(source, ts, seq, _after(source, Marks(target).get(name), ts), now).limit(1).count())
+
+
+def _after(source: DataFrame, mark: Mark, ts: str) -> tuple[Column, int] | None:
+    return None if mark.last_ts is None else (F.lit(mark.last_ts).cast(source.schema[ts].dataType), mark.last_seq)
+
+
+def offload(source: DataFrame, target: Store, name: str, *, ts: str, seq: str, now: Column, clock: Callable[[], float] = time.time, metrics: Metrics | None = None) -> int:
+    """Load what is new into the target once: window, anti-join on the key, one write, and the mark out of what was written.
+
+    The source is read once, by that write; so a row that arrives meanwhile is either written or lies behind no mark.  Only the target's
+    rows from the mark on can be met again, so only these are read for the anti-join.
+    """
+    marks, began = Marks(target), clock()
+    mark = marks.get(name).begin(began)
     marks.put(mark)
     try:
-        after = None if mark.last_ts is None else (F.lit(mark.last_ts).cast(source.schema[ts].dataType), mark.last_seq)
-        # The window is settled in the new files; its mark and count are read from them.
-        fresh = window(source, ts, seq, after, now)
-        before = target.snapshot()
-        keys = list(target.spec.key)
-        new = target.spec.conform(fresh).join(target.read().select(*keys), keys, "left_anti") if before else target.spec.conform(fresh)
-        top = high_mark(fresh, ts, seq).select(F.col("max_ts").cast("string"), "max_seq").first()
-        if top["max_ts"] is None:
-            marks.put(mark.succeed(None, None, clock()))
-            return 0
-        after_id = target.append(new, batch=f"{name}:{mark.last_ts}:{mark.last_seq}:{top['max_ts']}:{top['max_seq']}")
-        added = [p for p in after_id.files if before is None or p not in before.files]
-        rows = target.spark.read.schema(target.spec.schema).option("basePath", f"{target.root}/data").parquet(*(f"{target.root}/{p}" for p in added)).count() if added else 0
-        marks.put(mark.succeed(top["max_ts"], top["max_seq"], clock()))
-        return rows
+        after = _after(source, mark, ts)
+        new = target.spec.conform(window(source, ts, seq, after, now))
+        before, keys = target.snapshot(), list(target.spec.key)
+        if before and before.files:
+            known = target.read()
+            new = new.join((known if after is None else known.filter(F.col(ts) >= after[0])).select(*keys), keys, "left_anti")
+        done = target.append(new, batch=f"{name}:{mark.last_ts}:{mark.last_seq}:{uuid.uuid4().hex}")
+        added = target.added(done, before)
+        top = added.agg(F.count("*").alias("n"), F.max(F.struct(ts, seq)).alias("m")).select("n", F.col(f"m.{ts}").cast("string").alias("ts"), F.col(f"m.{seq}").alias("seq")).first()
+        marks.put(mark.succeed(top["ts"], top["seq"], clock()))
+        if metrics:
+            metrics.loaded(name, top["n"], clock() - began)
+        return top["n"]
     except Exception as e:
         marks.put(mark.fail(str(e), clock()))
+        if metrics:
+            metrics.failed(name, type(e).__name__)
         raise
 
 
+class Metrics:
+    """Counters, gauges and histograms of loads, in this process; ``text`` gives them in the usual exposition format."""
+
+    BOUNDS = (1, 5, 10, 30, 60, 300)
+
+    def __init__(self, prefix: str = "tidemark_offload"):
+        self.prefix, self.counters, self.gauges, self.seconds = prefix, Counter(), {}, {}
+
+    def loaded(self, table: str, rows: int, seconds: float) -> None:
+        self.counters["rows_total", table, ""] += rows
+        self.counters["loads_total", table, "success"] += 1
+        self.gauges["rows_per_second", table] = rows / seconds if seconds > 0 else 0.0
+        self.gauges["last_success", table] = time.time()
+        self.seconds.setdefault(table, []).append(seconds)
+
+    def failed(self, table: str, kind: str) -> None:
+        self.counters["loads_total", table, "failed"] += 1
+        self.counters["errors_total", table, kind] += 1
+
+    def text(self) -> str:
+        lines = []
+        for (name, table, kind), n in sorted(self.counters.items()):
+            label = f',kind="{kind}"' if kind else ""
+            lines.append(f'{self.prefix}_{name}{{table="{table}"{label}}} {n}')
+        lines += [f'{self.prefix}_{name}{{table="{table}"}} {value:g}' for (name, table), value in sorted(self.gauges.items())]
+        for table, seen in sorted(self.seconds.items()):
+            lines += [f'{self.prefix}_seconds_bucket{{table="{table}",le="{b}"}} {sum(x <= b for x in seen)}' for b in (*self.BOUNDS, "+Inf") if b != "+Inf"]
+            lines += [f'{self.prefix}_seconds_bucket{{table="{table}",le="+Inf"}} {len(seen)}', f'{self.prefix}_seconds_sum{{table="{table}"}} {sum(seen):g}', f'{self.prefix}_seconds_count{{table="{table}"}} {len(seen)}']
+        return "\n".join(lines) + "\n"
+
+
+def reaggregate(trades: DataFrame, bars: Store, frame: str, *, now: Column, minutes: int, ts: str = "ts", seq: str = "seq") -> None:
+    """Late data: the bars of the last ``minutes`` are made anew out of all their trades and put in place of the stored ones, whole windows only."""
+    width = F.expr(f"INTERVAL {FRAMES[frame]} MINUTES")
+    low, high = (F.window(x, f"{FRAMES[frame]} minutes")["start"] for x in (now - F.expr(f"INTERVAL {int(minutes)} MINUTES"), now))
+    recent = trades.filter((F.col(ts) >= low) & (F.col(ts) < high + width))
+    made = C.candles(recent, frame, ts=ts, seq=seq)
+    bars.upsert(made.withColumn("window_date", F.to_date("window_start")))
+
+
 def run_layers(jobs: dict[str, Callable[[], int]]) -> dict[str, int | str]:
     """Bronze, then silver, then gold; the jobs of a layer side by side; a failed one doesn't stop its layer, but the next."""
     from concurrent.futures import ThreadPoolExecutor

@@ -1,4 +1,4 @@
-"""Registered queries that SQL can't say: streams, snapshots, compaction, incremental loads."""
+"""Registered queries that write and read again: streams, snapshots, compaction, incremental loads."""
 
 from __future__ import annotations
 
@@ -38,20 +38,26 @@ def _drained(stream: DataFrame, root: str) -> DataFrame:
 
 
 def stream_candles(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly bars as each micro-batch leaves them, open windows too."""
+    from tidemark.plans.catalog import _BAR_COLUMNS, _rounded
+
     s, root = _stream(spark, d)
-    return _drained(M.candle_stream(s.filter("quantity > 0"), "1h").drop("vwap"), root)
+    M.candle_table(s.filter("quantity > 0"), "1h", f"{root}/bars", f"{root}/check").awaitTermination()
+    bars = M.current(spark.read.parquet(f"{root}/bars")).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return _rounded(bars.select("exchange", "symbol", "window_start", *_BAR_COLUMNS))
 
 
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     s, root = _stream(spark, d)
     twice = s.select("message_id", "exchange", "symbol", "ts")
     other = _stream(spark, d)[0].select("message_id", "exchange", "symbol", "ts")
-    return _drained(M.gold(twice, other, lateness="1 day"), root)
+    out = _drained(M.gold(twice, other, lateness="1 day"), root)
+    return out.withColumns({"ts": F.col("ts").cast("timestamp_ntz"), "exchange_date": F.col("exchange_date").cast("string")})
 
 
 def stream_sequence(spark: SparkSession, d: str) -> DataFrame:
     s, root = _stream(spark, d)
-    return _drained(sequence_stream(s), root)
+    return _drained(sequence_stream(s), root).groupBy("exchange", "symbol", "event").agg(F.count("*").alias("n"), F.sum("gap").alias("missing"))
 
 
 def stream_dead_letters(spark: SparkSession, d: str) -> DataFrame:
@@ -66,15 +72,18 @@ def snapshot_time_travel(spark: SparkSession, d: str) -> DataFrame:
     first = store.append(t.filter("seq % 2 = 0"), "even")
     store.append(t.filter("seq % 2 = 1"), "odd")
     store.append(t.filter("seq % 2 = 1"), "odd")  # once more: adds nothing
-    return store.read(first.id).agg(F.count("*").alias("then")).join(store.read().agg(F.count("*").alias("now")))
+    counts = [store.read(number).select(F.lit(which).alias("which")) for which, number in (("then", first.id), ("now", None))]
+    both = counts[0].unionByName(counts[1])
+    return both.agg(F.count_if(F.col("which") == "then").alias("then"), F.count_if(F.col("which") == "now").alias("now"))
 
 
 def compaction(spark: SparkSession, d: str) -> DataFrame:
     t, store = _ticks(spark, d), Store(spark, scratch(spark), TICKS)
     for i in range(3):
         store.append(t.filter(f"seq % 3 = {i}"))
+    before = len(store.snapshot().files)
     store.compact()
-    return store.files().agg(F.count("*").alias("files")).join(store.read().agg(F.count("*").alias("n"), F.sum("seq").alias("total")))
+    return store.read().agg(F.lit(len(store.snapshot().files) < before).alias("fewer_files"), F.count("*").alias("n"), F.sum("seq").alias("total"))
 
 
 def incremental_offload(spark: SparkSession, d: str) -> DataFrame:
@@ -88,11 +97,11 @@ LOTS = TableSpec("lots", struct("symbol string, exchange string, ts timestamp_nt
 
 
 def full_load(spark: SparkSession, d: str) -> DataFrame:
-    """All line items into a fresh table by month, in time order within files, and what its snapshot says."""
+    """All line items into a fresh table by month, in time order within files, and what it holds."""
     lots = V.daily(spark, d).withColumn("month", F.date_format("ts", "yyyy-MM"))
     store = Store(spark, scratch(spark), LOTS)
     store.append(lots, "all")
-    return store.files().groupBy("part").agg(F.count("*").alias("files"))
+    return store.read().groupBy("month").agg(F.count("*").alias("n"))
 
 
 def candle_upsert_store(spark: SparkSession, d: str) -> DataFrame:

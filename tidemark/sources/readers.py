@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.sources.schemas import RAW
 
+# Venues with their asset classes, and the kinds of topics.
 EXCHANGES = {"binance": "crypto", "kraken": "crypto", "coinbase": "crypto", "asx": "equities"}
 DATA_TYPES = ("trades", "quotes", "reference_data")
 
@@ -38,6 +39,13 @@ def raw(df: DataFrame) -> DataFrame:
     return out.withColumn("ingestion_date", F.to_date("ingestion_timestamp")).select(*RAW.names)
 
 
+def avro_bronze(df: DataFrame, schemas: dict[int, str]) -> DataFrame:
+    """Bronze that decodes at ingest: the raw layout, the schema's number and the record; bad messages stay with a null record."""
+    from tidemark.functions import avro
+
+    return avro.decoded(df, schemas)
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, *, most_files: int | None = None) -> DataFrame:
     """A folder of Parquet files as a stream, some files at a time."""
     reader = spark.readStream.schema(schema)
@@ -50,12 +58,14 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType, *, stream:
     return lines.filter(F.trim("value") != "").withColumn("message", F.from_json("value", schema))
 
 
-def jdbc_window(spark: SparkSession, url: str, table: str, ts: str, seq: str, low: str, high: str, *, columns: str = "*", partition_column: str | None = None, bounds: tuple | None = None, parts: int = 8, properties: dict | None = None) -> DataFrame:
-    """The half-open window (low, high] of a database table, read in parallel by a numeric column's ranges where one is named."""
+def jdbc_window(spark: SparkSession, url: str, table: str, ts: str, seq: str, low: str, high: str, *, low_seq: int | None = None, columns: str = "*", partition_column: str | None = None, bounds: tuple | None = None, parts: int = 8, properties: dict | None = None) -> DataFrame:
+    """The half-open window (low, high] of a database table, by time or by (time, sequence), read in parallel by a numeric column's ranges where one is named."""
     for name in (table, ts, seq):
         identifier(name)
     literal = lambda x: "'" + str(x).replace("'", "''") + "'"
     query = f"(SELECT {columns} FROM {table} WHERE {ts} > {literal(low)} AND {ts} <= {literal(high)}) w"
+    if low_seq is not None:  # rows of the last time that came after the mark's sequence
+        query = f"(SELECT {columns} FROM {table} WHERE ({ts} > {literal(low)} OR ({ts} = {literal(low)} AND {seq} > {int(low_seq)})) AND {ts} <= {literal(high)}) w"
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", query).options(**(properties or {}))
     if partition_column:
         identifier(partition_column)
@@ -98,6 +108,13 @@ def write(df: DataFrame, path: str, kind: str, fields: list[str] | None = None)
     (writer.option("header", True).csv if kind == "csv" else getattr(writer, kind))(path)
 
 
+def kafka_avro_sink(df: DataFrame, servers: str, to: str, key: str, schema_json: str, number: int) -> None:
+    """Rows as Avro messages with a registry's header, keyed by a column.  Needs the Kafka connector on the class path."""
+    from tidemark.functions import avro
+
+    avro.encoded(df, schema_json, number, key=key).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", to).save()
+
+
 def kafka_sink(df: DataFrame, servers: str, to: str, key: str) -> None:
     """Rows as JSON messages keyed by a column.  Needs the Kafka connector on the class path."""
     df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value")).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", to).save()

@@ -28,11 +28,11 @@ def struct(text: str) -> T.StructType:
     return T.StructType([T.StructField(*(name, _type(kind))) for name, kind in (f.split(" ", 1) for f in text.split(", "))])
 
 
-# Field names and types of the published trade, quote, reference and candle formats.
+# Field names and types of the published trade, quote, reference and candle formats (a candle's states beside them).
 TRADE = struct("message_id string, trade_id string, symbol string, exchange string, asset_class string, timestamp bigint, price decimal(18,8), quantity decimal(18,8), currency string, side string, trade_conditions array<string>, source_sequence bigint, ingestion_timestamp bigint, platform_sequence bigint, vendor_data map<string,string>")
 QUOTE = struct("message_id string, quote_id string, symbol string, exchange string, asset_class string, timestamp bigint, bid_price decimal(18,8), bid_quantity decimal(18,8), ask_price decimal(18,8), ask_quantity decimal(18,8), currency string, source_sequence bigint, ingestion_timestamp bigint, platform_sequence bigint, vendor_data map<string,string>")
 REFERENCE = struct("message_id string, company_id string, symbol string, exchange string, asset_class string, company_name string, isin string, currency string, listing_date bigint, delisting_date bigint, is_active boolean, ingestion_timestamp bigint, vendor_data map<string,string>")
-CANDLE = struct("exchange string, symbol string, window_start timestamp, window_end timestamp, open_time timestamp, close_time timestamp, open decimal(18,8), high decimal(18,8), low decimal(18,8), close decimal(18,8), volume decimal(38,8), quote_volume decimal(38,8), trade_count bigint, vwap decimal(38,8)")
+CANDLE = struct("exchange string, symbol string, window_start timestamp, window_end timestamp, open_time timestamp, close_time timestamp, open_seq bigint, close_seq bigint, open decimal(18,8), high decimal(18,8), low decimal(18,8), close decimal(18,8), volume decimal(38,8), quote_volume decimal(38,8), trade_count bigint, vwap decimal(38,8)")
 RAW = struct("value binary, topic string, partition int, offset bigint, kafka_timestamp timestamp, ingestion_timestamp timestamp, ingestion_date date")
 DEAD = struct("raw_record string, error_reason string, error_type string, bronze_source string, failed_at timestamp, dlq_date date")
 
@@ -82,17 +82,41 @@ TABLES = {
 
 
 class Registry:
-    """Logical to physical names with aliases; swapping an alias cuts readers over at once."""
+    """Logical to physical names with aliases; swapping an alias cuts readers over at once.
 
-    def __init__(self, root: str, overrides: dict[str, str] | None = None):
-        self.root, self.names = root.rstrip("/"), dict(overrides or {})
+    Given a session, aliases are kept in files below the root, a new one for each swap, so every process sees the last one.
+    """
+
+    def __init__(self, root: str, overrides: dict[str, str] | None = None, spark=None):
+        self.root, self.names, self.spark = root.rstrip("/"), dict(overrides or {}), spark
+
+    def _files(self):
+        from tidemark.sources.files import Files
+
+        return Files(self.spark, f"{self.root}/_aliases")
 
     def path(self, logical: str) -> str:
         target = self.names.get(logical, logical)
+        if self.spark is not None:
+            files = self._files()
+            own = sorted(n for n, *_ in files.children("") if n.startswith(f"{logical}@"))
+            target = files.read(own[-1]) if own else target
         return target if "/" in target else f"{self.root}/{target}"
 
     def swap(self, logical: str, physical: str) -> None:
-        self.names[logical] = physical
+        if self.spark is None:
+            self.names[logical] = physical
+            return
+        files = self._files()
+        own = sorted(n for n, *_ in files.children("") if n.startswith(f"{logical}@"))
+        files.create(f"{logical}@{int(own[-1].rpartition('@')[2]) + 1 if own else 1:08d}", physical)
+
+    def tables(self) -> list[str]:
+        """Logical tables that exist below the root."""
+        from tidemark.sources.files import Files
+
+        files = Files(self.spark, self.root)
+        return sorted(t for t in TABLES if files.exists(f"{self.path(t)}/_log"))
 
     def spec(self, logical: str) -> TableSpec:
         if logical not in TABLES:

@@ -68,8 +68,8 @@ def two_ways(stream: DataFrame, as_of_us: Column, valid_path: str, dead_path: st
     def put(batch: DataFrame, number: int) -> None:
         held = Q.validated(batch, as_of_us).persist()
         try:
-            held.filter(F.size("errors") == 0).drop("errors", "error_reason", "error_type").write.mode("overwrite").parquet(f"{valid_path}/batch={number}")
-            dead = held.filter(F.size("errors") > 0).select(F.to_json(F.struct(*batch.columns)).alias("raw_record"), "error_reason", "error_type")
+            held.filter("is_valid").select(*batch.columns).write.mode("overwrite").parquet(f"{valid_path}/batch={number}")
+            dead = held.filter(~F.col("is_valid")).select(F.to_json(F.struct(*batch.columns)).alias("raw_record"), "error_reason", "error_type")
             dead.write.mode("overwrite").parquet(f"{dead_path}/batch={number}")
         finally:
             held.unpersist()
@@ -93,6 +93,23 @@ def candle_stream(trades: DataFrame, width: str, *, ts: str = "ts", seq: str = "
     return candles(trades.withWatermark(ts, lateness), width, ts=ts, seq=seq)
 
 
+def candle_table(trades: DataFrame, width: str, path: str, checkpoint: str, *, ts: str = "ts", seq: str = "seq", lateness: str = "5 minutes", trigger: dict | None = None) -> StreamingQuery:
+    """Bars as a table that each micro-batch brings up to date, open windows too: a batch writes the bars that it has changed, under its number."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    stream = candle_stream(trades, width, ts=ts, seq=seq, lateness=lateness)
+    return stream.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def current(changes: DataFrame, keys: tuple[str, ...] = ("exchange", "symbol", "window_start"), version: str = "batch") -> DataFrame:
+    """The last state of each key out of what batches have changed."""
+    from tidemark.operators.queries import latest_version
+
+    return latest_version(changes, list(keys), [version]).drop(version)
+
+
 def tail(trades: DataFrame, as_of: Column, *, ts: str = "ts", minutes: int = 5) -> DataFrame:
     """The recent part of a table: what the hybrid query reads beyond the lake."""
     return trades.filter((F.col(ts) > as_of - F.expr(f"INTERVAL {int(minutes)} MINUTES")) & (F.col(ts) <= as_of))
