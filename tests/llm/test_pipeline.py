@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections import Counter
 
 import corpus_pipeline
@@ -64,7 +65,7 @@ def plain_mix(rows):
             copies = whole + (extra == n)
             out += [r] * (copies if n else 0)
             if 0 < extra < n:
-                cut = b" ".join(r["text"].encode().split()[:extra]).decode()
+                cut = b"".join(re.findall(rb"[ \t-\r]*[^ \t-\r]+", r["text"].encode())[:extra]).decode()
                 out.append(r | {"text": cut, "n_chars": len(cut)})
     return out
 
@@ -87,5 +88,16 @@ def test_the_pipeline_equals_its_plain_version(spark):
     assert got == want and len(want) > 50
 
 
+def test_a_thousand_equal_rows_leave_their_text_once(spark):
+    """Near duplicates keep one row, so the suffix stage finds no other copy to cut its text by."""
+    text = " ".join(f"w{i * 7919 % 1009}" for i in range(120))
+    rows = [(1, text, "en", "a", len(text))] * 1000 + [(2, text, "en", "a", len(text))] * 3 + [(None, text + " end", "en", "b", len(text) + 4)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicate_stage(spark, df, SF)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "None"]
+    out = corpus_pipeline.suffix_stage(spark, kept.filter("doc_id = 1"), SF).collect()
+    assert [(r.doc_id, r.text) for r in out] == [(1, text)]
+
+
 def test_stages_are_five_and_named_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "suffix_dedup", "mixing", "encoding"]
