@@ -52,6 +52,23 @@ def currency(canonical: Column, default: str = "UNKNOWN") -> Column:
     return F.when(F.instr(canonical, "/") > 0, F.substring_index(canonical, "/", -1)).otherwise(F.lit(default))
 
 
+# Endings by which a joined symbol tells its currency, in order.
+SUFFIXES = ("USDT", "USD", "BTC", "ETH")
+
+
+def suffix_currency(symbol: Column) -> Column:
+    """The currency that a joined symbol ends with, else its last four letters."""
+    out = F.when(symbol.endswith(SUFFIXES[0]), F.lit(SUFFIXES[0]))
+    for suffix in SUFFIXES[1:]:
+        out = out.when(symbol.endswith(suffix), F.lit(suffix))
+    return out.otherwise(F.substring(symbol, -4, 4))
+
+
+def fixed_canonical(symbol: Column, suffix: str) -> Column:
+    """A joined symbol cut before an ending of known length, whatever stands there."""
+    return F.concat(symbol.substr(F.lit(1), F.greatest(F.length(symbol) - len(suffix), F.lit(0))), F.lit(f"/{suffix}"))
+
+
 def maker_side(buyer_is_maker: Column) -> Column:
     return F.when(buyer_is_maker, "SELL").when(~buyer_is_maker, "BUY").otherwise("UNKNOWN")
 

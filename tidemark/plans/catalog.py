@@ -532,6 +532,20 @@ def _(spark, d):
     return v.select("k", N.joined_canonical(F.col("s")).alias("joined"), base.alias("base"), quote.alias("quote"), slashed.alias("slashed"), N.dashed_canonical(F.col("c")).alias("dashed"), N.currency(slashed, "USD").alias("currency"))
 
 
+@register("normalize_suffix", f"""SELECT k, CASE WHEN s LIKE '%USDT' THEN 'USDT' WHEN s LIKE '%USD' THEN 'USD' WHEN s LIKE '%BTC' THEN 'BTC' WHEN s LIKE '%ETH' THEN 'ETH' ELSE right(s, 4) END AS currency, s[:-5] || '/USDT' AS fixed FROM ({_PAIRS})""")
+def _(spark, d):
+    key = F.col("n_nationkey")
+    names = F.array(*map(F.lit, ("BTCUSDT", "ETHBTC", "SOLUSDC", "DOGEUSD", "XRPEUR", "ADAXYZ", "btcbusd")))
+    v = V.table(spark, d, "nation").select(key.alias("k"), F.element_at(names, key % 7 + 1).alias("s"))
+    return v.select("k", N.suffix_currency(F.col("s")).alias("currency"), N.fixed_canonical(F.col("s"), "USDT").alias("fixed"))
+
+
+@register("message_ids", "SELECT event_id, sha256(concat_ws('|', event_type, CAST(event_id AS VARCHAR), coalesce(CASE WHEN user_id % 2 = 0 THEN event_type END, ''))) AS id FROM events")
+def _(spark, d):
+    e = V.table(spark, d, "events")
+    return e.select("event_id", N.message_id(F.col("event_type"), F.col("event_id"), F.when(F.col("user_id") % 2 == 0, F.col("event_type"))).alias("id"))
+
+
 @register("normalize_times", "SELECT event_id, epoch_us(ts) AS us, CAST(CAST(CAST(epoch_us(ts) / 1000000.0 AS DECIMAL(20,6)) AS DECIMAL(30,6)) * 1000000 AS BIGINT) AS from_seconds, (epoch_us(ts) // 1000) * 1000 AS from_millis FROM events")
 def _(spark, d):
     us = N.micros(F.col("ts"))
@@ -614,6 +628,18 @@ SELECT exchange, symbol, CASE WHEN z = 1 THEN 'RESET' WHEN high IS NULL THEN 'FI
     "compaction": "SELECT true AS fewer_files, count(*) AS n, CAST(sum(seq) AS BIGINT) AS total FROM trades",
     "incremental_offload": "SELECT exchange, symbol, count(*) AS n, max(seq) AS last FROM trades WHERE ts <= TIMESTAMP '2024-02-15' - INTERVAL '5 minutes' GROUP BY 1, 2",
     "full_load": "SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n FROM daily GROUP BY 1",
+    "partition_overwrite": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n FROM trades WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-05', DATE '2024-01-06') OR seq % 3 = 0 GROUP BY 1",
+    "retention_delete": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n FROM trades WHERE CAST(ts AS DATE) >= DATE '2024-01-15' GROUP BY 1",
+    "snapshot_expiry": "SELECT CAST(1 AS BIGINT) AS snapshots, CAST(0 AS BIGINT) AS orphans, count(*) AS n FROM trades",
+    "stream_to_store": "SELECT exchange, count(*) AS n FROM trades GROUP BY 1",
+    "dead_letter_files": f"{_RAW} SELECT message_id, r AS error_reason, {_KIND} AS error_type FROM (SELECT *, {_REASON} AS r FROM raw) WHERE r <> 'none'",
+    "recent_tail": "SELECT symbol, ts, seq FROM (SELECT symbol, ts, seq, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, seq DESC) AS n FROM trades WHERE ts > (SELECT max(ts) FROM trades) - INTERVAL '720 minutes') WHERE n <= 50",
+    "csv_days": "SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) IN (DATE '1995-01-01', DATE '1995-01-02')",
+    "avro_registry": "SELECT seq, CAST(CASE WHEN seq % 50 = 0 THEN CASE WHEN seq % 2 = 0 THEN 1 ELSE 2 END WHEN seq % 53 = 0 THEN 99 WHEN seq % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS schema_id, CASE WHEN seq % 50 = 0 OR seq % 53 = 0 OR seq % 7 = 0 THEN NULL ELSE symbol END AS symbol, CASE WHEN seq % 50 = 0 OR seq % 53 = 0 THEN NULL ELSE round(CAST(price AS DOUBLE), 6) END AS price, CASE WHEN seq % 2 = 0 OR seq % 53 = 0 THEN NULL ELSE side = 'SELL' END AS sell FROM trades",
+    "silver_binance": "SELECT 'binance' AS exchange, 'ETHUSDT' AS symbol, 'ETH/USDT' AS canonical_symbol, 'USDT' AS currency, 'BINANCE-' || seq AS trade_id, (epoch_us(ts) // 1000) * 1000 AS timestamp, round(CAST(price AS DOUBLE), 6) AS price, CAST(1.5 AS DOUBLE) AS quantity, CASE WHEN seq % 2 = 0 THEN 'SELL' ELSE 'BUY' END AS side, seq AS source_sequence FROM trades WHERE seq % 11 <> 0 AND seq % 13 <> 0",
+    "silver_kraken": "SELECT 'kraken' AS exchange, 'XBT/USD' AS symbol, 'BTC/USD' AS canonical_symbol, 'USD' AS currency, epoch_us(ts) AS timestamp, round(CAST(price AS DOUBLE), 6) AS price, CAST(0.25 AS DOUBLE) AS quantity, unnest(['BUY', 'SELL']) AS side, CAST(NULL AS BIGINT) AS source_sequence FROM trades WHERE seq % 11 <> 0",
+    "silver_coinbase": "SELECT 'coinbase' AS exchange, 'BTCEUR' AS symbol, 'BTC/EUR' AS canonical_symbol, 'EUR' AS currency, 'COINBASE-' || seq AS trade_id, epoch_us(ts) AS timestamp, round(CAST(price AS DOUBLE), 6) AS price, CAST(2 AS DOUBLE) AS quantity, CASE WHEN seq % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS side, seq AS source_sequence FROM trades",
+    "older_trades": "SELECT CASE WHEN seq % 2 = 0 THEN 'BINANCE' ELSE 'ASX' END || '-' || (epoch_us(ts) // 1000) AS trade_id, symbol, CASE WHEN seq % 2 = 0 THEN 'BINANCE' ELSE 'ASX' END AS exchange, CASE WHEN seq % 2 = 0 THEN 'crypto' ELSE 'equities' END AS asset_class, (epoch_us(ts) // 1000) * 1000 AS timestamp, round(CAST(price AS DOUBLE), 6) AS price, 'AUD' AS currency, 'UNKNOWN' AS side, seq AS source_sequence, CAST(user_id AS VARCHAR) AS company FROM trades",
     "candle_upsert_store": "SELECT exchange, count(*) AS bars, CAST(sum(n) AS BIGINT) AS trades FROM (SELECT exchange, symbol, time_bucket(INTERVAL '1 day', ts) AS w, count(*) AS n FROM trades WHERE quantity > 0 GROUP BY 1, 2, 3) GROUP BY exchange",
 }
 

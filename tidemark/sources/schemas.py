@@ -52,7 +52,7 @@ class TableSpec:
     order: tuple[str, ...] = ()
     keep_days: int | None = None
     key: tuple[str, ...] = ()
-    properties: dict[str, str] = field(default_factory=lambda: {"compression": "zstd", "parquet.block.size": str(128 << 20)})
+    properties: dict[str, str] = field(default_factory=lambda: {"compression": "zstd", "parquet.compression.codec.zstd.level": "3", "parquet.block.size": str(128 << 20)})
 
     def conform(self, df: DataFrame) -> DataFrame:
         """The table's columns in order, cast; a missing column fails, others are left out."""

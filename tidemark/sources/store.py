@@ -184,6 +184,7 @@ class Store:
         if self.spec.partitions:
             writer = writer.partitionBy(*self.spec.partitions)
         writer.parquet(f"{self.root}/data/{load}")
+        self.store.delete(f"data/{load}/_SUCCESS")
         return {f"data/{load}/{name}": {"bytes": size, "partition": name.rpartition("/")[0]} for name, size, _ in self.store.children(f"data/{load}", True) if name.endswith(".parquet")}
 
     def append(self, df: DataFrame, batch: str | None = None, retries: int = 3) -> Snapshot:
