@@ -102,7 +102,7 @@ class Tree:
             waiting, distance = waiting[left], distance[left]
 
 
-STEP = 32  # projected neighbours between two stopping tests
+STEP = 64  # projected neighbours between two stopping tests
 
 
 def search(ids: np.ndarray, vectors: np.ndarray, tree: Tree, own_id: int, query: np.ndarray, projected: np.ndarray, k: int, limit: float, reach: float = np.inf) -> tuple[np.ndarray, np.ndarray, int]:
@@ -113,13 +113,18 @@ def search(ids: np.ndarray, vectors: np.ndarray, tree: Tree, own_id: int, query:
         if len(at):
             gap = vectors[at] - query
             verified += len(at)
-            best_ids, best = np.r_[best_ids, ids[at]], np.r_[best, np.sqrt((gap * gap).sum(axis=1))]
-            by = np.lexsort((best, best_ids))
-            by = by[np.r_[True, np.diff(best_ids[by]) != 0]]  # an id's nearest row
-            by = by[np.lexsort((best_ids[by], best[by]))][:k]
-            best_ids, best = best_ids[by], best[by]
-            if len(best) == k:
-                reach = min(reach, best[-1])
+            away = np.sqrt((gap * gap).sum(axis=1))
+            if len(best) == k:  # what is farther than the k-th changes nothing
+                nearer = away <= best[-1]
+                at, away = at[nearer], away[nearer]
+            if len(at):
+                best_ids, best = np.r_[best_ids, ids[at]], np.r_[best, away]
+                by = np.lexsort((best, best_ids))
+                by = by[np.r_[True, np.diff(best_ids[by]) != 0]]  # an id's nearest row
+                by = by[np.lexsort((best_ids[by], best[by]))][:k]
+                best_ids, best = best_ids[by], best[by]
+                if len(best) == k:
+                    reach = min(reach, best[-1])
         if bound > reach**2 * limit:
             break
     return best_ids, best, verified
@@ -273,7 +278,7 @@ def _boxes(dim: int, m: int, seed: int):
     return run
 
 
-def visits(embeddings: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, m: int = 16, confidence: float = 0.93, shard_rows: int = 8192, most_cells: int = 4096, sample_rows: int = 65_536, leaf: int = 64, seed: int = 0) -> DataFrame:
+def visits(embeddings: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, m: int = 16, confidence: float = 0.93, shard_rows: int = 8192, most_cells: int = 4096, sample_rows: int = 65_536, leaf: int = 256, seed: int = 0) -> DataFrame:
     """``FOUND``: what each visit of a query to a shard found, and how many vectors it verified (in a row without ``vec_id``)."""
 
     def vectors(df: DataFrame) -> DataFrame:
