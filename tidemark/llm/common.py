@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Words are runs of anything but the six ASCII white-space characters.  ``bytes.split()`` cuts at the same bytes.
@@ -106,6 +108,20 @@ def slices(batches, rows: int = 1000):
             yield batch.slice(i, rows)
 
 
+def lean(run):
+    """An Arrow function that gives memory back to the system when a task's batches are through: workers live on, and an executor's memory is shared with them."""
+
+    def through(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # not glibc
+            pass
+
+    return through
+
+
 def open_fs(uri: str):
     """(pyarrow file system, path) for any URI that pyarrow knows: file, hdfs, s3, gs."""
     from pyarrow import fs

@@ -120,7 +120,7 @@ def _documents(words: int):
                 rows.append((len(found), *digest, registers(found).tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary())))], names=["row", "id", "n", "d1", "d2", "regs"])
 
-    return run
+    return common.lean(run)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +142,7 @@ def _estimated(threshold: float, margin: float):
             keep = pa.array(j >= least)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "n_a", "n_b")], names=["a", "b", "n_a", "n_b"])
 
-    return run
+    return common.lean(run)
 
 
 def _both(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -172,7 +172,7 @@ def _sets(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                 sets = [shingles(x.as_py(), words).tobytes() for x in batch.column("raw").take(pa.array(at))]
                 yield pa.RecordBatch.from_arrays([found.column("node").combine_chunks(), pa.array(sets, pa.binary())], names=["of", "set"])
 
-    out = common.settled(rows.select("row", "raw").mapInArrow(run, "of long, set binary"))
+    out = common.settled(rows.select("row", "raw").mapInArrow(common.lean(run), "of long, set binary"))
     common.remove(path)
     return out
 
@@ -192,7 +192,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float, margin: float)
 
 def _links(likely: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs that are similar on full sets; settled."""
-    measured = _met(likely.select("a", "b"), sets, "set").mapInArrow(_measured, "a long, b long, both long").withColumnsRenamed({"a": "x", "b": "y"})
+    measured = _met(likely.select("a", "b"), sets, "set").mapInArrow(common.lean(_measured), "a long, b long, both long").withColumnsRenamed({"a": "x", "b": "y"})
     found = likely.join(measured, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")))
     return common.settled(found.filter(100 * F.col("both") >= round(threshold * 100) * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"))
 
@@ -231,7 +231,7 @@ def _often(sets: DataFrame) -> np.ndarray:
         if own is not None:
             yield out()
 
-    found = sets.select("set").mapInArrow(partial, "block long, cells binary, counts binary").repartition("block").sortWithinPartitions("block").mapInArrow(merged, "block long, steps binary")
+    found = sets.select("set").mapInArrow(common.lean(partial), "block long, cells binary, counts binary").repartition("block").sortWithinPartitions("block").mapInArrow(merged, "block long, steps binary")
     out = np.zeros(1 << ORDER_BITS, np.uint8)
     for r in found.collect():  # 2**ORDER_BITS bytes in all
         out[r["block"] * block : (r["block"] + 1) * block] = np.frombuffer(r["steps"], np.uint8)
@@ -258,7 +258,7 @@ def _prefixes(shared, percent: int):
             columns = [np.concatenate(c).astype(np.int64) for c in zip(*parts, strict=True)] if parts else [np.empty(0, np.int64)] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "of", "n", "reach"])
 
-    return run
+    return common.lean(run)
 
 
 def _across(open_nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -294,7 +294,7 @@ def _judged(rows: DataFrame, words: int, threshold: float, margin: float) -> Dat
     named = common.settled(members.select("id", "d1", "d2").join(classes.select("e1", "e2", "node"), (F.col("d1") == F.col("e1")) & (F.col("d2").bitwiseXOR(F.col("e2")) == 0)).select("id", "node"))
     nodes = common.settled(documents.select(F.col("row").alias("at"), "regs").join(classes.select("node", "row", "n"), F.col("at") == F.col("row")).select("node", "row", "n", "regs"))
 
-    banded = nodes.select("node", "regs").mapInArrow(_bands, "bucket long, node long")
+    banded = nodes.select("node", "regs").mapInArrow(common.lean(_bands), "bucket long, node long")
     least = banded.groupBy("bucket", F.xxhash64("bucket").alias("b2")).agg(F.min("node").alias("pivot"), F.count("*").alias("size")).filter("size > 1").select(F.col("bucket").alias("of"), "b2", "pivot")
     buckets = common.settled(banded.join(least, (F.col("bucket") == F.col("of")) & (F.xxhash64("bucket").bitwiseXOR(F.col("b2")) == 0)).select("bucket", "node", "pivot"))
 
@@ -337,4 +337,4 @@ def representatives(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             at, _ = beside.of(batch.column("row").to_numpy())
             yield pa.RecordBatch.from_arrays([batch.column("own").take(pa.array(at, pa.int64()))], names=["own"])
 
-    return rows.select("own", "row").mapInArrow(run, schema).select("own.*")
+    return rows.select("own", "row").mapInArrow(common.lean(run), schema).select("own.*")

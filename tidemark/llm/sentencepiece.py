@@ -276,7 +276,7 @@ def encode(df: DataFrame, model_path: str, *, text_col: str = "text", ids_col: s
             ids = [c.encode(t) for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(ids, pa.list_(pa.int32()))], names=[*keep, ids_col])
 
-    return df.select(*keep, F.col(text_col).cast("string").alias("_encoded_text")).mapInArrow(run, schema)
+    return df.select(*keep, F.col(text_col).cast("string").alias("_encoded_text")).mapInArrow(common.lean(run), schema)
 
 
 def decode(df: DataFrame, model_path: str, *, ids_col: str = "ids", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -291,7 +291,7 @@ def decode(df: DataFrame, model_path: str, *, ids_col: str = "ids", text_col: st
             texts = [c.decode(x) for x in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, text_col])
 
-    return df.select(*keep, F.col(ids_col).alias("_decoded_ids")).mapInArrow(run, schema)
+    return df.select(*keep, F.col(ids_col).alias("_decoded_ids")).mapInArrow(common.lean(run), schema)
 
 
 DIGEST = "n_bytes long, n_tokens long, n_byte_tokens long, ids_sha256 string, exact boolean"
@@ -314,4 +314,4 @@ def digest(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], names=names)
 
-    return df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("_t")).mapInArrow(run, f"{id_col} long, {DIGEST}")
+    return df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("_t")).mapInArrow(common.lean(run), f"{id_col} long, {DIGEST}")

@@ -88,7 +88,7 @@ def _grouped(span: int):
         low, high = place[starts], place[np.r_[starts[1:], len(row)] - 1] if len(row) else place
         return pa.RecordBatch.from_arrays([table.column("row").combine_chunks().take(pa.array(owner)), pa.array((first + low).astype(np.int32)), pa.array((first + high + span).astype(np.int32))], names=["row", "start", "stop"])
 
-    return lambda batches: W.grouped(batches, solve)
+    return common.lean(lambda batches: W.grouped(batches, solve))
 
 
 def _few(span: int):
@@ -96,7 +96,7 @@ def _few(span: int):
         row, _, _, least = _least(table, "own", span)
         return W.values_batch(table, least, np.bincount(row, minlength=table.num_rows))
 
-    return lambda batches: W.grouped(batches, solve)
+    return common.lean(lambda batches: W.grouped(batches, solve))
 
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -117,7 +117,7 @@ def _cut(path: str):
                 rows.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return run
+    return common.lean(run)
 
 
 def spans(rows: DataFrame, *, span: int = 50, k: int = 12, hot: int = 1024, most: int = 256) -> str:

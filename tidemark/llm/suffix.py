@@ -159,7 +159,7 @@ def _solve(span: int):
         start, stop = at[rows] - high[own[rows]], at[rows] + span - low[own[rows]]
         return pa.RecordBatch.from_arrays([table.column("row").combine_chunks().take(pa.array(rows)), pa.array(start, pa.int32()), pa.array(stop, pa.int32())], names=["row", "start", "stop"])
 
-    return lambda batches: W.grouped(batches, solve)
+    return common.lean(lambda batches: W.grouped(batches, solve))
 
 
 def _few(span: int):
@@ -174,7 +174,7 @@ def _few(span: int):
         flat[first[often] + left[often] - low[often]] = 2
         return W.values_batch(table, flat, sizes)
 
-    return lambda batches: W.grouped(batches, solve)
+    return common.lean(lambda batches: W.grouped(batches, solve))
 
 
 def spans(rows: DataFrame, *, span: int = 200, k: int = 64, hot: int = 1024, most: int = 256) -> str:
@@ -208,7 +208,7 @@ def _cut(path: str):
                 rows.append((len(raw), len(raw) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return run
+    return common.lean(run)
 
 
 def dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -232,4 +232,4 @@ def cleaned(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **
             kept = [_kept(raw, cut).decode("utf-8", "ignore") if cut else raw.decode() for raw, cut in zip(batch.column("raw").to_pylist(), found, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array(kept, pa.string())], names=["own", "kept"])
 
-    return rows.select("own", "row", "raw").mapInArrow(run, schema).select(*(F.col("kept").alias(c) if c == text_col else F.col("own")[c].alias(c) for c in names))
+    return rows.select("own", "row", "raw").mapInArrow(common.lean(run), schema).select(*(F.col("kept").alias(c) if c == text_col else F.col("own")[c].alias(c) for c in names))

@@ -133,7 +133,7 @@ def _counts(sample: DataFrame, only: set[str] | None) -> DataFrame:
                 times.update(own)
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64()), pa.array([times[t] for t in found], pa.int64())], names=["term", "n", "times"])
 
-    return sample.select("text").mapInArrow(run, "term string, n long, times long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
+    return sample.select("text").mapInArrow(common.lean(run), "term string, n long, times long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
 
 
 def _signatures(sample: DataFrame, size: int = 16) -> DataFrame:
@@ -148,7 +148,7 @@ def _signatures(sample: DataFrame, size: int = 16) -> DataFrame:
                 rows.append((codes[:, None] * odd[None, :] >> np.uint64(31)).min(axis=0).astype(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(rows, pa.list_(pa.int64()))], names=["at", "signature"])
 
-    return sample.select("at", "text").mapInArrow(run, "at long, signature array<long>")
+    return sample.select("at", "text").mapInArrow(common.lean(run), "at long, signature array<long>")
 
 
 def _distinct(signatures: np.ndarray, least: int = 6) -> np.ndarray:
@@ -209,7 +209,7 @@ def spared(sample: DataFrame, terms: dict[str, float], *, least: int = 3) -> tup
                 found[toxic].update({f"{a} {b}" for a, b, x, y in zip(words, words[1:], hit, hit[1:], strict=False) if x or y})
         yield pa.RecordBatch.from_arrays([pa.array([p for own in found for p in own], pa.string()), pa.array([n for own in found for n in own.values()], pa.int64()), pa.array([i for i, own in enumerate(found) for _ in own], pa.int32())], names=["phrase", "n", "toxic"])
 
-    told = sample.select("text", "toxic").mapInArrow(run, "phrase string, n long, toxic int").groupBy("phrase").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
+    told = sample.select("text", "toxic").mapInArrow(common.lean(run), "phrase string, n long, toxic int").groupBy("phrase").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
     return tuple(sorted(r["phrase"] for r in told.filter((F.col("clean") >= least) & (F.col("toxic") == 0)).select("phrase").collect()))
 
 
@@ -258,7 +258,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, le
             rows = [_x(*matcher.features(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.float64()), batch.column("toxic")], names=["a", "b", "toxic"])
 
-    fitted = _fit([tuple(r) for r in sample.mapInArrow(run, "a double, b double, toxic int").collect()])
+    fitted = _fit([tuple(r) for r in sample.mapInArrow(common.lean(run), "a double, b double, toxic int").collect()])
     return Model(terms, exceptions, *map(float, fitted))
 
 
@@ -275,7 +275,7 @@ def score(df: DataFrame, model: Model, *, keep: list[str], text_col: str = "text
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, model.bias + model.total * a + model.dense * b)))))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(scores, pa.float64())], names=[*keep, score_col])
 
-    return df.select(*keep, F.col(text_col).cast("string").alias("_scored_text")).mapInArrow(run, schema)
+    return df.select(*keep, F.col(text_col).cast("string").alias("_scored_text")).mapInArrow(common.lean(run), schema)
 
 
 def clean(documents: DataFrame, labels: DataFrame, *, threshold: float = 0.7, **options) -> DataFrame:

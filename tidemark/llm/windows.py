@@ -36,7 +36,7 @@ INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 SEGMENT = 1 << 18
 INDEX_BITS = 20
 INDEX = U((1 << INDEX_BITS) - 1)
-FLUSH = 1 << 21
+FLUSH = 1 << 19
 PLACE_BITS = 33  # of a row's name, below its part
 
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
@@ -220,7 +220,7 @@ def occurrences(rows: DataFrame, symbols: Callable[[bytes], np.ndarray], k: int,
             for a in anchors(map(symbols, batch.column("raw").to_pylist()), k, span):
                 yield pa.RecordBatch.from_arrays([pa.array(name[a.text]), pa.array(a.at, pa.int32()), pa.array((a.at - a.first << 16) + (a.last - a.first), pa.int32()), pa.array(a.hash.view(np.int64))], names=["row", "at", "shape", "hash"])
 
-    return common.settled(rows.select("row", "raw").mapInArrow(run, "row long, at int, shape int, hash long"))
+    return common.settled(rows.select("row", "raw").mapInArrow(common.lean(run), "row long, at int, shape int, hash long"))
 
 
 BLOCK_BITS = 10  # cells of a block of the sketch, in each of two rows
@@ -249,7 +249,7 @@ def _partial(parts: int, blocks_each: int):
                 held = []
         yield out()
 
-    return run
+    return common.lean(run)
 
 
 def _merged(blocks_each: int, hot: int):
@@ -275,7 +275,7 @@ def _merged(blocks_each: int, hot: int):
         if part is not None:
             yield out()
 
-    return run
+    return common.lean(run)
 
 
 def passing(found: DataFrame, hot: int, each: int = 4) -> DataFrame:
@@ -322,7 +322,7 @@ def around(path: str, cut: Callable[[list[bytes], np.ndarray, np.ndarray, np.nda
             body = cut(raw, texts, first, first + (shape & 0xFFFF) + span)
             yield pa.RecordBatch.from_arrays([pa.array(name[texts]), batch.column("id").take(pa.array(texts)), found.column("hash").combine_chunks(), pa.array(at, pa.int32()), pa.array(first, pa.int32()), pa.array(body, pa.binary())], names=["row", "id", "hash", "at", "first", "body"])
 
-    return run
+    return common.lean(run)
 
 
 AROUND = "row long, id long, hash long, at int, first int, body binary"
@@ -348,7 +348,7 @@ def halves(symbols: Callable[[bytes], list | bytes], joined: Callable, span: int
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=[x.split()[0] for x in CONTEXT.split(", ")])
 
-    return run
+    return common.lean(run)
 
 
 def resolve(found: DataFrame, owner: Column, start: Column, combine: Callable[[str], Column], removes: Callable[[Column], Column], few: Callable, half: Callable, span: int, wide: int, most: int) -> DataFrame:
