@@ -69,12 +69,13 @@ def drop(*tables: DataFrame) -> None:
 
 
 @contextmanager
-def released(*keep: str):
-    """Delete at the end whatever was made inside, but for folders named to be kept."""
-    before = set(_made)
-    yield
+def released():
+    """Delete at the end whatever was made inside, but for the settled tables and folders that are put on the list this yields."""
+    before, keep = set(_made), []
+    yield keep
+    kept = {x if isinstance(x, str) else x._settled_at for x in keep}
     for path in list(_made):
-        if path not in before and path not in keep:
+        if path not in before and path not in kept:
             remove(path)
 
 

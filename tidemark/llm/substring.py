@@ -122,12 +122,14 @@ def _cut(path: str):
 
 def spans(rows: DataFrame, *, span: int = 50, k: int = 12, hot: int = 1024, most: int = 256) -> str:
     """The folder of spans in words, laid beside the texts (``windows.placed``): what to remove."""
-    usual, often = W.repeated(rows, W.word_symbols, k, span, hot)
-    texts = rows.select("row", "id", "raw")
-    plain = texts.mapInArrow(W.around(usual, _cut_words, span), W.AROUND).repartition("hash").sortWithinPartitions("hash").mapInArrow(_grouped(span), "row long, start int, stop int")
-    found = texts.mapInArrow(W.around(often, _cut_words, span), W.AROUND)
-    hot_spans = W.resolve(found, F.coalesce("id", F.lit(LAST_ID)), F.min("owner"), F.min, lambda v: v < F.col("owner"), _few(span), W.halves(lambda b: b.split(b" "), b" ".join, span), span, span - k + 1, most)
-    return W.spans_beside(plain, hot_spans)
+    with common.released() as keep:
+        usual, often = W.repeated(rows, W.word_symbols, k, span, hot)
+        texts = rows.select("row", "id", "raw")
+        plain = texts.mapInArrow(W.around(usual, _cut_words, span), W.AROUND).repartition("hash").sortWithinPartitions("hash").mapInArrow(_grouped(span), "row long, start int, stop int")
+        found = texts.mapInArrow(W.around(often, _cut_words, span), W.AROUND)
+        hot_spans = W.resolve(found, F.coalesce("id", F.lit(LAST_ID)), F.min("owner"), F.min, lambda v: v < F.col("owner"), _few(span), W.halves(lambda b: b.split(b" "), b" ".join, span), span, span - k + 1, most)
+        keep.append(W.spans_beside(plain, hot_spans))
+    return keep[0]
 
 
 def dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

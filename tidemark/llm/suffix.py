@@ -179,12 +179,14 @@ def _few(span: int):
 
 def spans(rows: DataFrame, *, span: int = 200, k: int = 64, hot: int = 1024, most: int = 256) -> str:
     """The folder of spans in bytes, laid beside the texts (``windows.placed``): strings that also start elsewhere."""
-    usual, often = W.repeated(rows, W.byte_symbols, k, span, hot)
-    texts = rows.select("row", F.lit(None).cast("long").alias("id"), "raw")  # whose a text is doesn't matter
-    plain = texts.mapInArrow(W.around(usual, _cut_bytes, span), W.AROUND).repartition("hash").sortWithinPartitions("hash").mapInArrow(_solve(span), "row long, start int, stop int")
-    found = texts.mapInArrow(W.around(often, _cut_bytes, span), W.AROUND)
-    hot_spans = W.resolve(found, F.lit(0), F.sum(F.size("firsts")), F.sum, lambda v: v > 1, _few(span), W.halves(lambda b: b, bytes, span), span, span - k + 1, most)
-    return W.spans_beside(plain, hot_spans)
+    with common.released() as keep:
+        usual, often = W.repeated(rows, W.byte_symbols, k, span, hot)
+        texts = rows.select("row", F.lit(None).cast("long").alias("id"), "raw")  # whose a text is doesn't matter
+        plain = texts.mapInArrow(W.around(usual, _cut_bytes, span), W.AROUND).repartition("hash").sortWithinPartitions("hash").mapInArrow(_solve(span), "row long, start int, stop int")
+        found = texts.mapInArrow(W.around(often, _cut_bytes, span), W.AROUND)
+        hot_spans = W.resolve(found, F.lit(0), F.sum(F.size("firsts")), F.sum, lambda v: v > 1, _few(span), W.halves(lambda b: b, bytes, span), span, span - k + 1, most)
+        keep.append(W.spans_beside(plain, hot_spans))
+    return keep[0]
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
